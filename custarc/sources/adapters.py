@@ -6,9 +6,7 @@ table, so the same mapping serves the engine and the SQL it is checked against.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-
-from custarc.sources.raw import Sources
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _email(k: str) -> str:
@@ -100,10 +98,17 @@ ADAPTERS = {
 }
 
 
-def sources_from(spark: SparkSession, folder: str) -> Sources:
-    """The five sources, mapped from the test tables in a folder."""
+class AdaptedSources:
+    """The five sources, each mapped from the test tables of a folder on first use."""
 
-    def mapped(text: str, tables: tuple[str, ...]):
-        return spark.sql(text, **{t: spark.read.parquet(f"{folder}/{t}.parquet") for t in tables})
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder = spark, folder
 
-    return Sources(**{name: mapped(*adapter) for name, adapter in ADAPTERS.items()})
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in ADAPTERS:
+            raise AttributeError(name)
+        text, tables = ADAPTERS[name]
+        inputs = {t: self._spark.read.parquet(f"{self._folder}/{t}.parquet") for t in tables}
+        source = self._spark.sql(text, **inputs)
+        setattr(self, name, source)
+        return source
