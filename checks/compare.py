@@ -64,7 +64,7 @@ def difference(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str |
 
 
 def main(folder: str, names: list[str]) -> int:
-    spark = session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark = session("compare", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(folder)
     bad = 0

@@ -27,6 +27,7 @@ from custarc.plans import core, kpis, marts, retention, revenue, staging
 from custarc.plans.build import Models
 from custarc.settings import Settings
 from custarc.sinks.export import to_export_shape
+from custarc.sinks.tables import cut_into, scratch_folder
 from custarc.sources.adapters import AdaptedSources
 
 # The test tables span 1995-2001 (orders) and January 2024 (events, tickets); 1995 is left
@@ -76,10 +77,8 @@ def _retention_movements(m: Models) -> DataFrame:
     state = retention.with_old_price(_sub_months(m)).withColumn(
         "current_month", temporal.month_start(c("valid_from"))
     )
-    kind = measures.retention_event_type(c("transaction_type"), c("status"))
-    moves = measures.mrr_movements(kind, c("price"), c("old_price"), c("copies"), c("old_price"))
     keys = ("current_month", "months_since_start", "plan_name", "billing_cycle", "churn_reason")
-    return state.groupBy(*keys).agg(*moves)
+    return state.groupBy(*keys).agg(*retention.retention_movements())
 
 
 def _corrected(m: Models) -> Settings:
@@ -391,9 +390,28 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
 }
 
 
-def models(spark: SparkSession, folder: str) -> Models:
-    return Models(spark, AdaptedSources(spark, folder), SETTINGS)
+# Read several times by the revenue and retention marts, so stored first for their queries,
+# as in a full build.
+STORED = ("dim_subscription", "fact_transaction")
+ON_STORED = {
+    "mart_retention", "mart_retention_corrected", "retention_movements", "retention_event_type",
+    "retention_lag_price", "cohort_month_rank", "kpi_retention",
+    "mart_revenue", "mart_revenue_corrected", "mrr_movements", "revenue_event_type",
+    "subscription_events", "lag_price", "kpi_revenue", "kpi_plan_mix",
+}
+
+
+def models(spark: SparkSession, folder: str, on_stored: bool = False) -> Models:
+    sources = AdaptedSources(spark, folder)
+    if not on_stored:
+        return Models(spark, sources, SETTINGS)
+    cut = cut_into(scratch_folder(spark))
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        return cut(df, name) if name in STORED else df
+
+    return Models(spark, sources, SETTINGS, store, cut)
 
 
 def runnable(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: QUERIES[name](models(spark, folder))
+    return lambda spark, folder: QUERIES[name](models(spark, folder, name in ON_STORED))

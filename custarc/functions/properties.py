@@ -5,13 +5,19 @@ A JSON null, a missing key and malformed JSON all give NULL; one bad row never f
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def unquoted(text: Column) -> Column:
+    return F.replace(text, F.lit('"'), F.lit(""))
+
+
 def json_text(col: Column, path: str) -> Column:
     """The value at ``path`` as text, without double quotes."""
-    return F.replace(F.get_json_object(col, path), F.lit('"'), F.lit(""))
+    return unquoted(F.get_json_object(col, path))
 
 
 def rounded_int(text: Column) -> Column:
@@ -21,3 +27,11 @@ def rounded_int(text: Column) -> Column:
 
 def json_int(col: Column, path: str) -> Column:
     return rounded_int(json_text(col, path))
+
+
+def with_json_fields(df: DataFrame, col: str, fields: Sequence[str]) -> DataFrame:
+    """Add several top-level fields as unquoted text, parsing each text once. Of a repeated
+    key the last value counts."""
+    raw = [f"_json_{f}" for f in fields]
+    parsed = df.select("*", F.json_tuple(col, *fields).alias(*raw))
+    return parsed.withColumns({f: unquoted(F.col(r)) for f, r in zip(fields, raw)}).drop(*raw)

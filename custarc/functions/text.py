@@ -27,12 +27,8 @@ def _either(*conditions: Column) -> Column:
 
 def capitalize_words(col: Column) -> Column:
     """Lower-case, then capitalise each whitespace-separated word; runs of whitespace become
-    one space. Unlike ``initcap`` this does not keep repeated spaces."""
-    words = F.split(F.lower(col), r"\s+")
-    return F.array_join(
-        F.transform(words, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substr(w, F.lit(2)))),
-        " ",
-    )
+    one space (``initcap`` alone keeps them and only breaks words at spaces)."""
+    return F.initcap(F.regexp_replace(col, r"\s+", " "))
 
 
 def is_placeholder(col: Column) -> Column:

@@ -6,9 +6,11 @@ result is reached in three bounded steps:
 
 1. equal rows are counted, map side first; a copy's predecessor is its equal, so only the
    first copy needs a look back;
-2. a window per (entity, day) finds the predecessor inside the day;
-3. one row per (entity, day) holds the day's last value; a window over an entity's days hands
-   it to the first row of the next day.
+2. a window per (entity, period) finds the predecessor inside the period;
+3. one row per (entity, period) holds the period's last value; a window over an entity's
+   periods hands it to the first row of the next one.
+
+A task then holds the distinct rows of one entity and period, or the periods of one entity.
 """
 
 from __future__ import annotations
@@ -18,7 +20,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LAST_DAY = 2**31 - 1
+# What rows are spread by; all are non-null, so windows and joins share one partitioning.
+SPREAD = ("_known", "_entity", "_period")
+_NO_PERIOD = 2**31 - 1
+
+
+def day_number(at: str) -> Column:
+    return F.datediff(F.to_date(at), F.lit("1970-01-01").cast("date"))
+
+
+def month_number(at: str) -> Column:
+    return F.year(at) * 12 + F.month(at)
 
 
 def previous_value(
@@ -27,65 +39,66 @@ def previous_value(
     at: str,
     value: str,
     ties: Sequence[str],
-    weight: Column | None = None,
-    out: str = "old_value",
+    weight: str,
+    out: str,
+    period: Column,
+    counted_before: bool = False,
     month_rank: str | None = None,
 ) -> DataFrame:
     """Weighted rows (entity, at, value, *ties, out, copies) with the preceding value.
 
     Rows are ordered by ``at``, then ``value``, then ``ties``, NULLs last; rows equal in all
-    of these are interchangeable. ``weight`` says how many equal rows an input row stands for
-    (1 by default) and ``copies`` how many an output row stands for. ``month_rank`` names an
-    extra column: the 0-based dense rank, within the entity, of the month number of ``at``.
+    of these are interchangeable. ``weight`` is the number of equal rows an input row stands
+    for, ``copies`` that of an output row. ``period`` is an integer that never falls as ``at``
+    grows. Set ``counted_before`` when the input has few equal rows left: they are then
+    counted after the shuffle by entity and period instead of before it. ``month_rank`` names
+    an extra column: the 0-based dense rank, within the entity, of the month of ``at``
+    (January = 1, whatever the year).
+
+    The result is distributed by the SPREAD columns, which it keeps.
     """
-    day_no = F.coalesce(F.datediff(F.to_date(at), F.lit("1970-01-01").cast("date")), F.lit(_LAST_DAY))
-    # Non-null stand-ins, so that windows and the join back share one partitioning.
-    keys = {"_known": F.col(entity).isNotNull(), "_entity": F.coalesce(entity, F.lit("")), "_day": day_no}
-    counted = (
-        df.withColumns(keys)
-        .groupBy(*keys, entity, at, value, *ties)
-        .agg(F.sum(weight if weight is not None else F.lit(1)).alias("_n"))
+    spread = df.withColumns(
+        {
+            "_known": F.col(entity).isNotNull(),
+            "_entity": F.coalesce(F.col(entity), F.lit("")),
+            "_period": F.coalesce(period, F.lit(_NO_PERIOD)),
+        }
     )
+    if counted_before:
+        spread = spread.repartition(*SPREAD)
+    counted = spread.groupBy(*SPREAD, entity, at, value, *ties).agg(F.sum(weight).alias("_n"))
 
     order = [F.col(c).asc_nulls_last() for c in (at, value, *ties)]
-    in_day = Window.partitionBy(*keys).orderBy(*order)
+    in_period = Window.partitionBy(*SPREAD).orderBy(*order)
     stepped = counted.withColumns(
-        {"_before": F.lag(value).over(in_day), "_pos": F.row_number().over(in_day)}
+        {"_before": F.lag(value).over(in_period), "_pos": F.row_number().over(in_period)}
     )
 
+    # _n keeps the columns of both branches the same, so that they share one shuffle.
     latest = F.struct(F.col(at).isNull(), F.col(at), F.col(value).isNull(), F.col(value))
-    month = F.month(at)
-    days = counted.groupBy(*keys).agg(
-        F.max_by(F.col(value), latest).alias("_last"), F.max(month).alias("_month")
-    )
-    over_days = Window.partitionBy("_known", "_entity")
-    carried = days.select(
-        *[F.col(k).alias(f"{k}_r") for k in keys],
-        F.lag("_last").over(over_days.orderBy("_day")).alias("_carry"),
-        *(
-            [
-                (F.dense_rank().over(over_days.orderBy(F.col("_month").asc_nulls_last())) - 1)
-                .cast("long")
-                .alias(month_rank)
-            ]
-            if month_rank
-            else []
-        ),
-    )
-    same_day = (
-        (F.col("_known") == F.col("_known_r"))
-        & (F.col("_entity") == F.col("_entity_r"))
-        & (F.col("_day") == F.col("_day_r"))
+    periods = counted.groupBy(*SPREAD).agg(
+        F.max_by(F.struct(value, "_n"), latest).alias("_latest"), F.max(F.month(at)).alias("_month")
     )
-    found = stepped.join(carried, same_day)
+    of_entity = Window.partitionBy("_known", "_entity")
+    carry = F.lag(F.col("_latest")[value]).over(of_entity.orderBy("_period"))
+    found = [carry.alias("_carry")]
+    if month_rank:
+        by_month = of_entity.orderBy(F.col("_month").asc_nulls_last())
+        found.append((F.dense_rank().over(by_month) - 1).cast("long").alias(month_rank))
+    carried = periods.select(*[F.col(k).alias(f"{k}_r") for k in SPREAD], *found)
+    same = [F.col(k) == F.col(f"{k}_r") for k in SPREAD]
+    joined = stepped.join(carried, same[0] & same[1] & same[2])
 
     first = F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col("_before"))
-    lead_copy = F.struct(first.alias("old"), F.lit(1).cast("long").alias("n"))
+    one = F.struct(first.alias("old"), F.lit(1).cast("long").alias("n"))
     rest = F.struct(F.col(value).alias("old"), (F.col("_n") - 1).alias("n"))
-    kept = [entity, at, value, *ties] + ([month_rank] if month_rank else [])
-    return found.select(
-        *kept,
-        F.inline(
-            F.when(F.col("_n") > 1, F.array(lead_copy, rest)).otherwise(F.array(lead_copy))
-        ).alias(out, "copies"),
+    copies = F.when(F.col("_n") > 1, F.array(one, rest)).otherwise(F.array(one))
+    return joined.select(
+        *SPREAD,
+        entity,
+        at,
+        value,
+        *ties,
+        *([month_rank] if month_rank else []),
+        F.inline(copies).alias(out, "copies"),
     )

@@ -16,7 +16,7 @@ from custarc.functions.temporal import add_months_ts, month_start, months_crosse
 from custarc.functions.text import default_label
 from custarc.operators.expansion import explode_month_counts
 from custarc.operators.joins import left_join_when
-from custarc.operators.ladder import previous_value
+from custarc.operators.ladder import SPREAD, month_number, previous_value
 from custarc.settings import Settings
 
 # Tie order of the look back, after time and price.
@@ -110,31 +110,38 @@ def with_old_price(months: DataFrame) -> DataFrame:
         at="valid_from",
         value="price",
         ties=TIES,
-        weight=F.col("weight"),
+        weight="weight",
         out="old_price",
+        period=month_number("valid_from"),
+        counted_before=True,
         month_rank="months_since_start",
     )
 
 
+def retention_movements() -> list[Column]:
+    kind = retention_event_type(F.col("transaction_type"), F.col("status"))
+    price, old = F.col("price"), F.col("old_price")
+    return mrr_movements(kind, price, old, F.col("copies"), old)
+
+
 def mart_retention(
     subscriptions: DataFrame, transactions: DataFrame, s: Settings = Settings()
 ) -> DataFrame:
     """current_month x months_since_start x plan_name x billing_cycle x churn_reason."""
     state = with_old_price(subscription_months(subscriptions, transactions, s))
     keys = ["current_month", "months_since_start", "plan_name", "billing_cycle", "churn_reason"]
-    kind = retention_event_type(F.col("transaction_type"), F.col("status"))
-    price, old = F.col("price"), F.col("old_price")
     known = F.col("subscription_id").isNotNull()
 
-    # Per subscription first: the distinct counts become sums of flags, with no Expand.
+    # Rows are spread by subscription and month, so grouping by these first needs no shuffle
+    # and turns the distinct counts of subscriptions into sums of flags.
     per_subscription = (
         state.withColumn("current_month", month_start(F.col("valid_from")))
-        .groupBy(*keys, "subscription_id")
+        .groupBy(*SPREAD, *keys, "subscription_id")
         .agg(
             F.max(F.when(known & (F.col("status") == "Active"), 1).otherwise(0)).alias("_active"),
             F.max(F.when(known & (F.col("status") == "Canceled"), 1).otherwise(0)).alias("_canceled"),
             F.sum("copies").alias("_rows"),
-            *mrr_movements(kind, price, old, F.col("copies"), old),
+            *retention_movements(),
         )
     )
     grouped = per_subscription.groupBy(*keys).agg(
@@ -143,9 +150,7 @@ def mart_retention(
         F.sum("_rows").alias("_rows"),
         *[F.sum(c).alias(c) for c in MRR_COLUMNS],
     )
-    return grouped.select(
-        *keys, "cohort_size", "churned_users", *reported_mrr(keys, s)
-    )
+    return grouped.select(*keys, "cohort_size", "churned_users", *reported_mrr(keys, s))
 
 
 def reported_mrr(keys: list[str], s: Settings) -> list[Column]:

@@ -15,7 +15,7 @@ from custarc.functions.temporal import add_months_ts, months_crossed
 from custarc.functions.text import default_label, infer_cycle, infer_plan
 from custarc.operators.expansion import explode_month_counts, month_counts
 from custarc.operators.joins import left_join_when, lookup_left
-from custarc.operators.ladder import previous_value
+from custarc.operators.ladder import day_number, previous_value
 from custarc.operators.spine import full_date
 from custarc.plans.retention import annual, reported_mrr, succeeded
 from custarc.settings import Settings
@@ -122,8 +122,9 @@ def with_old_price(months: DataFrame) -> DataFrame:
         at="transaction_date",
         value="price",
         ties=TIES,
-        weight=F.col("weight"),
+        weight="weight",
         out="old_price",
+        period=day_number("transaction_date"),
     )
 
 

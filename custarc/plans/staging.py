@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custarc.functions.properties import json_int, json_text
+from custarc.functions.properties import rounded_int, with_json_fields
 from custarc.functions.temporal import to_date_lenient, to_float_lenient, to_ts_lenient
 from custarc.functions.text import (
     clean_currency,
@@ -104,8 +104,8 @@ def stg_support_ticket(support_tickets: DataFrame) -> DataFrame:
 
 def stg_product_usage(product_usage: DataFrame) -> DataFrame:
     c = F.col
-    properties = c("properties")
-    return product_usage.select(
+    texts = ("device", "os", "browser", "country")
+    return with_json_fields(product_usage, "properties", (*texts, "session_duration")).select(
         "event_id",
         null_if_in(c("user_id")).alias("user_id"),
         "feature_name",
@@ -113,6 +113,6 @@ def stg_product_usage(product_usage: DataFrame) -> DataFrame:
         clean_email(c("user_email")).alias("user_email"),
         "session_id",
         "properties",
-        *[json_text(properties, f"$.{k}").alias(k) for k in ("device", "os", "browser", "country")],
-        json_int(properties, "$.session_duration").alias("session_duration"),
+        *texts,
+        rounded_int(c("session_duration")).alias("session_duration"),
     )

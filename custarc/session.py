@@ -14,6 +14,13 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Only when the session is built: without the debugging option Python does not record the
+# call site of every column expression, which takes longer than planning these models.
+BUILD_SETTINGS = {
+    "spark.ui.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that already exists."""
@@ -22,11 +29,13 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def session(app: str = "custarc", master: str | None = None, **extra: str) -> SparkSession:
-    """Build (or get) a session; ``extra`` takes settings with ``_`` for ``.``-free keys."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+def session(
+    app: str = "custarc", master: str | None = None, settings: dict[str, str] | None = None
+) -> SparkSession:
+    """Build (or get) a tuned session; ``settings`` override the defaults."""
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_SETTINGS, **extra}.items():
+    for key, value in {**RUNTIME_SETTINGS, **BUILD_SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
