@@ -250,13 +250,14 @@ CTES |= {
 }
 
 
-def chain(final: str) -> str:
-    """WITH chain of the CTEs a statement needs, directly or through others."""
+def chain(final: str, given: frozenset[str] = frozenset()) -> str:
+    """WITH chain of the CTEs a statement needs, directly or through others, but not of those
+    that are ``given`` as tables."""
     needed: dict[str, None] = {}
 
     def visit(text: str) -> None:
         for word in dict.fromkeys(re.findall(r"[a-z_]+", text)):
-            if word in CTES and word not in needed and f"{word} AS (" not in text:
+            if word in CTES and word not in given and word not in needed:
                 if re.search(rf"\b(FROM|JOIN)\s+{word}\b", text):
                     visit(CTES[word])
                     needed[word] = None

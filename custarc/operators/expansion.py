@@ -13,11 +13,12 @@ def expand_months(df: DataFrame, start: Column, end: Column, max_n: int = 12) ->
 
     A period that crosses no month boundary, or has a NULL end, gives no row.
     """
-    n = F.least(F.lit(max_n), months_crossed(start, end))
+    # The filter comes first: ``least`` skips a NULL argument.
+    last = F.least(F.lit(max_n), F.col("_n")) - 1
     return (
-        df.withColumn("_n", n)
+        df.withColumn("_n", months_crossed(start, end))
         .where("_n > 0")
-        .withColumn("months_since_start", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+        .withColumn("months_since_start", F.explode(F.sequence(F.lit(0), last)))
         .drop("_n")
     )
 

@@ -33,13 +33,10 @@ def annual(df: DataFrame) -> DataFrame:
 
 def _versions(subscriptions: DataFrame, s: Settings) -> DataFrame:
     """Distinct subscription versions with their copies and their key's month counts."""
-    months = F.greatest(
-        F.lit(0),
-        F.least(
-            F.lit(s.max_months),
-            months_crossed(F.col("valid_from"), F.coalesce(F.to_date("canceled_at"), F.lit(s.horizon))),
-        ),
-    )
+    end = F.coalesce(F.to_date("canceled_at"), F.lit(s.horizon))
+    crossed = months_crossed(F.col("valid_from"), end)
+    is_annual = F.col("billing_cycle") == "Annual"
+    months = F.when(is_annual & (crossed > 0), F.least(F.lit(s.max_months), crossed)).otherwise(0)
     counted = (
         subscriptions.select(
             "subscription_sk",
@@ -49,7 +46,7 @@ def _versions(subscriptions: DataFrame, s: Settings) -> DataFrame:
             "status",
             default_label(F.col("churn_reason")).alias("churn_reason"),
             "valid_from",
-            F.when(F.col("billing_cycle") == "Annual", months).otherwise(F.lit(0)).alias("_months"),
+            months.alias("_months"),
         )
         .groupBy(
             "subscription_sk", "subscription_id", "plan_name", "billing_cycle", "status",
