@@ -7,6 +7,8 @@ expanded to are joined as one array of counts per payment key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,11 +60,21 @@ def _annual_months(transactions: DataFrame, versions: DataFrame, s: Settings) ->
     )
 
 
+Cut = Callable[[DataFrame, str], DataFrame]
+
+
+def _uncut(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
 def transaction_months(
-    transactions: DataFrame, subscriptions: DataFrame, s: Settings = Settings()
+    transactions: DataFrame, subscriptions: DataFrame, s: Settings = Settings(), cut: Cut = _uncut
 ) -> DataFrame:
     """Weighted detail rows from fact_transaction and dim_subscription: every payment, repeated
-    for the months it covers when it is an open annual one. ``weight`` counts equal rows."""
+    for the months it covers when it is an open annual one. ``weight`` counts equal rows.
+
+    ``cut(df, name)`` may store the joined payments, one row each, before they are repeated.
+    """
     versions = _version_counts(subscriptions)
     paid = transactions.select(
         "transaction_sk",
@@ -90,8 +102,8 @@ def transaction_months(
     still_open = F.col("canceled_at").isNull()
     joined = left_join_when(
         txn, _annual_months(transactions, versions, s), ["transaction_sk"], still_open
-    )
-    expanded = explode_month_counts(joined, "_reached", "_month", "_in_month")
+    ).drop("transaction_sk", "subscription_sk")
+    expanded = explode_month_counts(cut(joined, "paid_months"), "_reached", "_month", "_in_month")
     start = F.coalesce(F.col("canceled_at"), F.col("_day").cast("timestamp_ntz"))
     return expanded.select(
         "transaction_id",
@@ -146,11 +158,11 @@ def mart_revenue(
     transactions: DataFrame,
     subscriptions: DataFrame,
     s: Settings = Settings(),
-    cut=lambda df, name: df,
+    cut: Cut = _uncut,
 ) -> DataFrame:
     """transaction_month x plan_name x billing_cycle x transaction_type x payment_method x
-    failure_code. The detail rows are read twice; ``cut(df, name)`` may store them once."""
-    months = cut(transaction_months(transactions, subscriptions, s), "transaction_months")
+    failure_code. The payments are read twice, so pass a ``cut`` that stores them once."""
+    months = transaction_months(transactions, subscriptions, s, cut)
     weight, txn = F.col("weight"), F.col("transaction_id")
 
     def rows_where(condition: Column) -> Column:
