@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,13 +32,11 @@ def read_table(spark: SparkSession, location: str, name: str) -> DataFrame:
 def scratch_folder(spark: SparkSession) -> str:
     """A fresh folder under spark.checkpoint.dir, where every executor can read it again.
 
-    Only a local session may go without that setting; it gets a temporary folder.
+    A session without that setting keeps such data in its warehouse, which is shared as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="custarc-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/custarc-{uuid.uuid4().hex}"
 
 
