@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,21 +39,41 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def row_hashes(key: str, text: str) -> list[Column]:
+    """h1, h2: 128 bits over key and text that name a row, up to copies equal in both, which every
+    operator treats alike. Missing keys and texts hash like values of their own."""
+    row = [F.col(key), F.col(text)]
+    return [F.xxhash64(*row).alias("h1"), F.xxhash64(F.lit(1), *row).alias("h2")]
+
+
 def whole_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Each row of ``docs`` as struct ``row``, beside its key and the hashes of its text.
-
-    (id, h1, h2) names a row up to copies that are equal in key and text, which every operator
-    treats alike. Packing the row keeps any other column from clashing with an operator's own.
-    """
-    return docs.select(
-        F.struct("*").alias("row"),
-        F.col(key).alias("id"),
-        *[h.alias(n) for h, n in zip(hash128(F.col(text)), ("h1", "h2"))],
+    """(row, h1, h2): each row packed as a struct, so that no other column can clash with an
+    operator's own."""
+    return docs.select(F.struct("*").alias("row"), *row_hashes(key, text))
+
+
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in columns])
+
+
+def bit_filter(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Which of 2^bits slots a column of 64-bit hashes falls into, one bit per slot: what reaches
+    the driver is 2^bits / 8 bytes at most, however many hashes there are. A value whose slot is
+    clear is not among the hashes; one whose slot is set must be looked up."""
+    slot = F.col(column).bitwiseAND((1 << bits) - 1)
+    words = (
+        hashes.select(slot.alias("slot"))
+        .selectExpr("shiftright(slot, 6) AS word", "shiftleft(1L, cast(slot & 63 AS int)) AS bit")
+        .groupBy("word")
+        .agg(F.bit_or("bit").alias("bit"))
+        .toPandas()
     )
+    found = np.zeros(1 << (bits - 6), np.uint64)
+    found[words["word"].to_numpy(np.int64)] = words["bit"].to_numpy(np.int64).view(np.uint64)
+    return found
 
 
-def same_row(left: DataFrame, right: DataFrame) -> Column:
-    """Equality of the keys made by whole_rows; a missing key equals a missing key."""
-    return (
-        (left.h1 == right.h1) & (left.h2 == right.h2) & left.id.eqNullSafe(right.id)
-    )
+def passes(found: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which 64-bit values (uint64) have their slot set in a bit_filter."""
+    slot = values & np.uint64(len(found) * 64 - 1)
+    return (found[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1

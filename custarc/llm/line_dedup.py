@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custarc.llm.common import BLANKS, ascii_lower, hash128, same_row, stored, whole_rows
+from custarc.llm.common import BLANKS, ascii_lower, hash128, row_hashes, stored, whole_rows
 from custarc.sinks.tables import scratch_folder, write_table
 
 KEY = ["h1", "h2"]
@@ -121,20 +121,19 @@ def mark_lines(docs: DataFrame, frequent: DataFrame, text: str = "text", key: st
     lines = lines_of(F.col(text))
     at = (
         docs.select(
-            F.col(key).alias("id"),
-            *[h.alias(n) for h, n in zip(hash128(F.col(text)), ("h1", "h2"))],
+            *row_hashes(key, text),
             F.posexplode(F.transform(lines, _key_struct)).alias("at", "k"),
         )
         .where("k is not null")
-        .select("id", "h1", "h2", "at", F.col("k.h1").alias("k1"), F.col("k.h2").alias("k2"))
+        .select("h1", "h2", "at", F.col("k.h1").alias("k1"), F.col("k.h2").alias("k2"))
     )
     repeated = frequent.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"))
     hits = (
         at.join(repeated, ["k1", "k2"], "left_semi")
-        .groupBy("id", "h1", "h2")
+        .groupBy("h1", "h2")
         .agg(F.collect_set("at").alias("drop"))
     )
-    joined = rows.join(hits, same_row(rows, hits), "left").select(rows.row, hits["drop"].alias("drop"))
+    joined = rows.join(hits, ["h1", "h2"], "left").select("row", "drop")
     text_lines = lines_of(F.col("row").getField(text))
     marked = joined.select("row", text_lines.alias("lines"), F.coalesce("drop", F.array().cast("array<int>")).alias("drop"))
     # array_except hashes the positions, so a long document costs time in proportion to its lines.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custarc.llm import chat, line_dedup, pii, sharding
+from custarc.llm import chat, decontaminate, line_dedup, pii, sharding
 from custarc.llm.common import table
 
 c = F.col
@@ -32,6 +32,19 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    judged = decontaminate.judge(docs, table(spark, folder, "benchmark"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     said = f"{chat.END}{chat.START}assistant ok"
     extra = spark.range(2).select(
@@ -76,7 +89,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op5_sharding, op9_chat_formatting, op10_pii)
+    for f in (op1_line_dedup, op5_sharding, op6_decontamination, op9_chat_formatting, op10_pii)
 }
 
 ORACLE: dict[str, str] = {}
