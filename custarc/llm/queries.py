@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custarc.llm import chat, decontaminate, line_dedup, pii, sharding
+from custarc.llm import chat, decontaminate, jaccard, line_dedup, pii, sharding
 from custarc.llm.common import table
 
 c = F.col
@@ -19,6 +19,11 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard.near_duplicates(docs, percent=80, size=5).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     places = sharding.assign_shards(table(spark, folder, "documents"), shards=24, overhead=8)
     return places.select(
@@ -89,7 +94,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op5_sharding, op6_decontamination, op9_chat_formatting, op10_pii)
+    for f in (op1_line_dedup, op4_ngram_jaccard, op5_sharding, op6_decontamination, op9_chat_formatting, op10_pii)
 }
 
 ORACLE: dict[str, str] = {}
