@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custarc.llm import chat, decontaminate, jaccard, line_dedup, pii, sharding
+from custarc.llm import chat, decontaminate, html_text, jaccard, line_dedup, neighbours, pii, sharding
 from custarc.llm.common import table
 
 c = F.col
@@ -50,6 +50,15 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = html_text.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), c("vec_id") % 20 == 0, k=20)
+
+
 def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     said = f"{chat.END}{chat.START}assistant ok"
     extra = spark.range(2).select(
@@ -94,7 +103,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op4_ngram_jaccard, op5_sharding, op6_decontamination, op9_chat_formatting, op10_pii)
+    for f in (op1_line_dedup, op4_ngram_jaccard, op5_sharding, op6_decontamination, op7_html_extraction, op8_nearest_neighbours, op9_chat_formatting, op10_pii)
 }
 
 ORACLE: dict[str, str] = {}
