@@ -147,8 +147,11 @@ def mark_lines(docs: DataFrame, frequent: DataFrame, text: str = "text", key: st
 
 
 def drop_repeated_lines(docs: DataFrame, min_docs: int = 10, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with every line removed that at least ``min_docs`` documents hold."""
+    """``docs`` with every line removed that at least ``min_docs`` documents hold; null stays null."""
     marked = mark_lines(docs, collect_lines(docs, min_docs, text).frequent(), text, key)
-    return marked.select(
-        *[F.col("kept").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns]
-    )
+
+    def column(name: str) -> Column:
+        old = F.col("row").getField(name)
+        return F.when(old.isNotNull(), F.col("kept")).alias(name) if name == text else old.alias(name)
+
+    return marked.select(*map(column, docs.columns))

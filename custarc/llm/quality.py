@@ -5,17 +5,17 @@ thresholds cut the scale into grades, P(grade <= k) = logistic(threshold[k] - s)
 the weights. From it come the expected grade and the probability of reaching a grade.
 
 Features are, for every distinct word: the word without edge punctuation in lower case, its first
-four and five letters, and its shape at the edges; and for the text its length and its share of
-repeated words, in steps. They are hashed into 2^BITS weights, and the score is divided by the
-square root of the number of distinct words.
+four and five letters, and its shape at the edges, all divided by the square root of the number of
+distinct words; and for the text its length and its shares of repeated words, of symbols and of
+capitals, in steps. They are hashed into 2^BITS weights.
 
 The model is fitted on at most SAMPLE rated texts per grade (those with the smallest hash of their
 id), weighted so that the grades count as in all ratings. The driver sees the feature numbers of that
 sample only; scoring covers every text.
 
 Null text is empty and is scored like any other. A text rated several times has its lowest grade; a
-null grade or id is no rating; of several texts with one id, the smallest is fitted. Without ratings
-of at least two grades there is no model, and fit() raises ValueError.
+null grade or id is no rating; of several texts with one id, the smallest is fitted. Without rated
+texts of at least two grades there is no model: fit() returns None, and keep_good() keeps all.
 """
 
 from __future__ import annotations
@@ -32,14 +32,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from custarc.llm.common import unpacked
 from custarc.llm.words import lists
 
 BITS = 18
 SAMPLE = 1500
 MIN_TEXTS = 3
-DAMPING = 1e-3
-STEPS = 150
-PENALTY = 1e-4
+DAMPING = 3e-4  # keeps Adam from moving rare features as fast as common ones
+OF_TEXT = 4  # features of a text as a whole
+WHOLE = 2.0  # their value; a word's is divided by the square root of the number of words
+STEPS = 200
+PENALTY = 5e-5
 CACHED_WORDS = 400_000
 
 _EDGES = re.compile(r"^(\W*)(.*?)(\W*)$", re.S)
@@ -50,15 +53,20 @@ def _slot(kind: str, value: str) -> int:
 
 
 def word_features(word: str) -> tuple[int, ...]:
+    """The four features of a word, then whether it carries symbols and whether it is in capitals."""
     before, core, after = _EDGES.match(word).groups()
     low = core.lower()
-    case = "X" if len(core) > 2 and core.isupper() else "x" if core else ""
-    return _slot("w", low), _slot("4", low[:4]), _slot("5", low[:5]), _slot("s", f"{before[:3]}{case}{after[:3]}")
+    capitals = len(core) > 2 and core.isupper()
+    case = "X" if capitals else "x" if core else ""
+    shape = f"{before[:3]}{case}{after[:3]}"
+    slots = _slot("w", low), _slot("4", low[:4]), _slot("5", low[:5]), _slot("s", shape)
+    return *slots, int(not core or len(before) + len(after) > 1), int(capitals)
 
 
-def text_features(n_words: int, n_distinct: int) -> tuple[int, ...]:
-    repeated = 1 - n_distinct / n_words if n_words else 0
-    return _slot("n", str(n_words.bit_length())), _slot("r", f"{n_words.bit_length()} {int(repeated * 10)}")
+def text_features(n_words: int, n_distinct: int, symbols: int, capitals: int) -> list[int]:
+    """Length of a text and its shares of repeated words, symbols and capitals, each in steps."""
+    shares = (1 - n_distinct / max(1, n_words), symbols / max(1, n_distinct), capitals / max(1, n_distinct))
+    return [_slot("n", str(n_words.bit_length()))] + [_slot(f"t{k}", str(int(x * 10))) for k, x in enumerate(shares)]
 
 
 class _Known(dict):
@@ -76,11 +84,11 @@ class _Known(dict):
 
 
 def features(text: str | None, known) -> np.ndarray:
+    """Feature numbers of a text: OF_TEXT of the whole text, then those of its distinct words."""
     words = (text or "").split()
-    distinct = set(words)
-    out = [f for w in distinct for f in known[w]]
-    out += text_features(len(words), len(distinct))
-    return np.array(out, np.int64)
+    found = [known[w] for w in set(words)]
+    whole = text_features(len(words), len(found), sum(f[4] for f in found), sum(f[5] for f in found))
+    return np.array(whole + [slot for f in found for slot in f[:4]], np.int64)
 
 
 @dataclass
@@ -94,13 +102,19 @@ class Model:
 
     def scores(self, texts: Iterator[str | None]) -> np.ndarray:
         weights = self.weights
-        known = _Known(lambda w: float(sum(weights[f] for f in word_features(w))))
+
+        def of_word(word: str) -> tuple[float, int, int]:
+            f = word_features(word)
+            return float(weights[list(f[:4])].sum()), f[4], f[5]
+
+        known = _Known(of_word)
         out = []
         for text in texts:
             words = (text or "").split()
-            distinct = sorted(set(words))
-            whole = sum(weights[f] for f in text_features(len(words), len(distinct)))
-            out.append((sum(map(known.__getitem__, distinct)) + whole) / max(1, len(distinct)) ** 0.5)
+            found = [known[w] for w in sorted(set(words))]
+            total, symbols, capitals = map(sum, zip(*found)) if found else (0.0, 0, 0)
+            whole = weights[text_features(len(words), len(found), symbols, capitals)].sum()
+            out.append(total / max(1, len(found)) ** 0.5 + WHOLE * whole)
         return np.array(out, np.float64)
 
 
@@ -116,8 +130,10 @@ def fit_arrays(slots: list[np.ndarray], grades: np.ndarray, weight: np.ndarray,
     texts = np.bincount(np.concatenate([np.unique(x) for x in slots]), minlength=1 << BITS)
     known = texts >= MIN_TEXTS
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    # Four features per distinct word and two of the text.
-    scale = 1 / np.sqrt(np.maximum(1, (lengths - 2) / 4))
+    # Four features per distinct word behind those of the text.
+    of_words = 1 / np.sqrt(np.maximum(1, (lengths - OF_TEXT) / 4))
+    value = np.repeat(of_words, lengths)
+    value[(starts[:, None] + np.arange(OF_TEXT)).ravel()] = WHOLE
     share = weight / weight.sum()
     below = np.array([share[grades < k].sum() for k in range(1, n_grades)])
     below = np.clip(below, 1e-3, 1 - 1e-3)
@@ -128,7 +144,7 @@ def fit_arrays(slots: list[np.ndarray], grades: np.ndarray, weight: np.ndarray,
     moments = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(gaps), np.zeros_like(gaps)]
     for step in range(1, STEPS + 1):
         theta = np.cumsum(np.concatenate([gaps[:1], np.exp(gaps[1:])]))
-        s = np.add.reduceat(w[flat], starts) * scale
+        s = np.add.reduceat(w[flat] * value, starts)
         edges = np.concatenate([[-np.inf], theta, [np.inf]])
         upper, lower = _logistic(edges[grades + 1] - s), _logistic(edges[grades] - s)
         p = np.maximum(upper - lower, 1e-9)
@@ -140,7 +156,7 @@ def fit_arrays(slots: list[np.ndarray], grades: np.ndarray, weight: np.ndarray,
         d_theta = d_theta[1:n_grades]
         tails = np.cumsum(d_theta[::-1])[::-1]
         d_gaps = np.concatenate([tails[:1], tails[1:] * np.exp(gaps[1:])])
-        d_w = np.bincount(flat, np.repeat(d_s * scale, lengths), len(w)) * known + PENALTY * w
+        d_w = np.bincount(flat, np.repeat(d_s, lengths) * value, len(w)) * known + PENALTY * w
         for x, d, k in ((w, d_w, 0), (gaps, d_gaps, 2)):
             moments[k] = 0.9 * moments[k] + 0.1 * d
             moments[k + 1] = 0.99 * moments[k + 1] + 0.01 * d * d
@@ -179,16 +195,14 @@ def rated_sample(
     return sample, counts
 
 
-def fit(docs: DataFrame, ratings: DataFrame, **options) -> Model:
+def fit(docs: DataFrame, ratings: DataFrame, **options) -> Model | None:
     """Fit grades 0, 1, ... of ``ratings`` (doc_id, grade) to the texts of ``docs``."""
     sample, counts = rated_sample(docs, ratings, **options)
-    if len(counts) < 2:
-        raise ValueError("ratings of at least two grades are needed")
     rows = sample.orderBy("doc_id").select("text", "grade").mapInArrow(_features_of, "grade int, slots array<long>").toPandas()
     grades = rows["grade"].to_numpy()
     if len(set(grades)) < 2:
-        raise ValueError("rated texts of at least two grades are needed")
-    sampled = np.bincount(grades, minlength=max(counts) + 1)
+        return None
+    sampled = np.bincount(grades)
     weight = np.array([counts[g] / sampled[g] for g in grades])
     return fit_arrays([np.asarray(s) for s in rows["slots"]], grades, weight, max(counts) + 1)
 
@@ -216,3 +230,11 @@ def grades_of_labels(labels: DataFrame) -> DataFrame:
         "doc_id",
         F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2).alias("grade"),
     )
+
+
+def keep_good(docs: DataFrame, ratings: DataFrame, least: float = 0.5, text: str = "text") -> DataFrame:
+    """``docs`` that have the highest grade with probability ``least`` or more."""
+    model = fit(docs, ratings, text=text)
+    if model is None:
+        return docs
+    return unpacked(score(docs, model, text).where(F.col("p_top") >= least), docs.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custarc.llm import chat, decontaminate, html_text, jaccard, line_dedup, neighbours, pii, sharding
+from custarc.llm import chat, decontaminate, html_text, jaccard, line_dedup, neighbours, packing, pii, quality, sharding
 from custarc.llm.common import table
 
 c = F.col
@@ -19,6 +19,17 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(docs, quality.grades_of_labels(table(spark, folder, "labels")))
+    scored = quality.score(docs, model)
+    return scored.select(c("row.doc_id").alias("doc_id"), "expected_grade", "p_top", (c("p_top") >= 0.5).alias("selected"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return jaccard.near_duplicates(docs, percent=80, size=5).select("doc_id", "n_shingles", "component_id")
@@ -103,7 +114,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op4_ngram_jaccard, op5_sharding, op6_decontamination, op7_html_extraction, op8_nearest_neighbours, op9_chat_formatting, op10_pii)
+    for f in (op1_line_dedup, op2_packing, op3_quality_classifier, op4_ngram_jaccard, op5_sharding, op6_decontamination, op7_html_extraction, op8_nearest_neighbours, op9_chat_formatting, op10_pii)
 }
 
 ORACLE: dict[str, str] = {}
