@@ -10,6 +10,8 @@ block:
   are multiplied.
 * At first each entry meets the leader of its block only (the class with the most copies), and the
   exact overlap decides. That is linear, and it joins nearly all near copies.
+* Before that, sketches of the sets discard pairs: a bit is set where a set has a shingle in that
+  range of hashes, and each bit that only one set has is a shingle that the other lacks.
 * Blocks whose members are all joined by then need nothing more. In the others, members not yet
   joined meet if their sizes and positions leave room for the overlap that the threshold asks for;
   overlap counts are summed over the blocks, and pairs whose sum plus what is left to come stays
@@ -30,11 +32,13 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from custarc.llm.common import bit_filter, passes, row_hashes, stored, unpacked, whole_rows
 from custarc.llm.components import connected
@@ -44,6 +48,9 @@ ORDERED = 1 << 17
 GRADE = 1 << 55  # above any value of monotonically_increasing_id in 4 million partitions
 BAND = 1.05  # sizes in one band differ by less than this factor
 PERCENT = 100
+CACHED_SETS = 256
+SKETCH = 1024  # bits of a set's sketch, one per range of hashes
+_RANGE = np.uint64(2**64 // SKETCH)
 
 
 def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -93,7 +100,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], size: int, percent: int, freque
     token, rank = frequent.value
     for whole in batches:
         for batch in small_batches(whole):
-            n, s1, s2, cold, prefix = [], [], [], [], []
+            n, s1, s2, cold, prefix, bits = [], [], [], [], [], []
             for _, _, words in hashed(as_bytes(batch["text"]), SPACED):
                 found = shingle_set(words, size)
                 digest = xxhash.xxh128_intdigest(found.tobytes()) if len(found) else 0
@@ -111,58 +118,107 @@ def _prefixes(batches: Iterator[pa.RecordBatch], size: int, percent: int, freque
                     hot = hot[np.argsort(rank[place[is_hot]], kind="stable")]
                     front = np.concatenate([front, hot])
                 prefix.append(front[:length])
+                ranges = np.zeros(SKETCH, bool)
+                ranges[found // _RANGE] = True
+                bits.append(np.packbits(ranges).view(np.uint64))
             columns = [batch[c] for c in batch.schema.names if c != "text"]
             names = [c for c in batch.schema.names if c != "text"]
             columns += [pa.array(n, pa.int32()), pa.array(np.array(s1, np.uint64).view(np.int64)), pa.array(np.array(s2, np.uint64).view(np.int64))]
-            columns += [pa.array(cold, pa.int32()), lists(prefix, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "n", "s1", "s2", "cold", "prefix"])
+            columns += [pa.array(cold, pa.int32()), lists(prefix, pa.int64()), lists(bits, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "n", "s1", "s2", "cold", "prefix", "bits"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch], size: int, wanted) -> Iterator[pa.RecordBatch]:
-    """Whole shingle sets of the rows whose hash passes the filter."""
-    for whole in batches:
-        keep = passes(wanted.value, whole["h1"].to_numpy(zero_copy_only=False).view(np.uint64))
-        whole = whole.filter(pa.array(keep))
-        for batch in small_batches(whole):
-            found = [shingle_set(words, size) for _, _, words in hashed(as_bytes(batch["text"]), SPACED)]
-            yield pa.RecordBatch.from_arrays(
-                [batch["h1"], batch["h2"], lists(found, pa.int64())], names=["h1", "h2", "shingles"]
-            )
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
-    left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - common
-    return both.where(PERCENT * common.cast("long") >= percent * union.cast("long")).select("a", "b")
-
-
-def _entries(rows: DataFrame, hot: bool) -> DataFrame:
-    """(token, cid, n, at) of the prefixes: their frequent shingles, or the others."""
-    part = (
-        F.slice("prefix", F.col("cold") + 1, F.size("prefix") - F.col("cold")) if hot
-        else F.slice("prefix", F.lit(1), F.col("cold"))
-    )
-    at = F.col("k") + F.col("cold") if hot else F.col("k")
-    return rows.select("cid", "n", "cold", F.posexplode(part).alias("k", "token")).select(
-        "token", "cid", "n", at.alias("at")
+def _texts(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]:
+    """The rows whose hash passes the filter."""
+    for batch in batches:
+        keep = passes(wanted.value, batch["h1"].to_numpy(zero_copy_only=False).view(np.uint64))
+        yield batch.filter(pa.array(keep))
+
+
+class _Sets(dict):
+    """Shingle sets of the texts last seen; a full cache starts anew."""
+
+    def of(self, key: int, text: str, size: int) -> np.ndarray:
+        if key not in self:
+            if len(self) >= CACHED_SETS:
+                self.clear()
+            ((_, _, words),) = hashed([text.encode()], SPACED)
+            self[key] = shingle_set(words, size)
+        return self[key]
+
+
+def _linked(size: int, percent: int):
+    """A function of (a, text of a, b, text of b): whether their shingle sets reach the similarity."""
+
+    @F.pandas_udf(T.BooleanType())
+    def linked(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        sets = _Sets()
+        for rows in batches:
+            out = []
+            for a, text_a, b, text_b in zip(*rows):
+                one, other = sets.of(a, text_a, size), sets.of(b, text_b, size)
+                common = len(np.intersect1d(one, other, assume_unique=True))
+                out.append(PERCENT * common >= percent * (len(one) + len(other) - common))
+            yield pd.Series(out, dtype=bool)
+
+    return linked
+
+
+def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that may reach the similarity, going by sizes and sketches."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sketches.select(F.col("cid").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+
+    def most_common(one: str, other: str):
+        missing = F.zip_with(f"bits_{one}", f"bits_{other}", lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+        return F.col(f"n_{one}") - F.aggregate(missing, F.lit(0), lambda a, x: a + x)
+
+    common = F.least(most_common("a", "b"), most_common("b", "a"), "n_a", "n_b")
+    return pairs.where(common * (PERCENT + percent) >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, plain: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose sets reach the similarity. Their texts are read again,
+    as a text takes less than half the room of its set; a bit filter finds them without a shuffle
+    of all texts."""
+    names = rows.select("cid", "h1", "h2")
+    for side in ("a", "b"):
+        pairs = pairs.join(names.toDF(side, f"h1_{side}", f"h2_{side}"), side)
+    pairs = stored(pairs, "pairs_to_verify")
+    needed = pairs.select(F.explode(F.array("h1_a", "h1_b")).alias("h1")).distinct()
+    count = needed.count()
+    if not count:
+        return pairs.select("a", "b")
+    bits = min(30, max(16, math.ceil(math.log2(count * 64))))
+    wanted = plain.sparkSession.sparkContext.broadcast(bit_filter(needed, "h1", bits))
+    found = plain.select("h1", "h2", "text").mapInArrow(lambda b: _texts(b, wanted), "h1 long, h2 long, text string")
+    # Copies equal in id and text are found more than once.
+    texts = found.groupBy("h1", "h2").agg(F.min("text").alias("text"))
+    for side in ("a", "b"):
+        pairs = pairs.join(texts.toDF(f"h1_{side}", f"h2_{side}", f"text_{side}"), [f"h1_{side}", f"h2_{side}"])
+    return pairs.where(_linked(size, percent)("a", "text_a", "b", "text_b")).select("a", "b")
+
+
+def _entries(rows: DataFrame) -> DataFrame:
+    """(token, cid, n, at, frequent) of the prefixes."""
+    return rows.select("cid", "n", "cold", F.posexplode("prefix").alias("at", "token")).select(
+        "token", "cid", "n", "at", (F.col("at") >= F.col("cold")).alias("frequent")
     )
 
 
 def _shared(rows: DataFrame) -> DataFrame:
     """Entries whose shingle stands in several prefixes, with the leader of their block."""
+    entries = _entries(rows)
     # Shingles beyond the frequent ones have small blocks: one shuffle is enough.
     block = W.partitionBy("token")
-    cold = _entries(rows, hot=False).select(
+    cold = entries.where("NOT frequent").drop("frequent").select(
         "*", F.count("*").over(block).alias("members"), F.min("cid").over(block).alias("leader")
     )
     # A frequent one may have a block of any size: count it map side, then join back.
-    entries = _entries(rows, hot=True)
-    blocks = entries.groupBy("token").agg(F.count("*").alias("members"), F.min("cid").alias("leader"))
-    hot = entries.join(blocks.where("members > 1"), "token")
+    often = entries.where("frequent").drop("frequent")
+    # Reading n here too lets all branches share the shuffle of the prefixes.
+    blocks = often.groupBy("token").agg(F.count("n").alias("members"), F.min("cid").alias("leader"))
+    hot = often.join(blocks.where("members > 1"), "token")
     return cold.where("members > 1").unionByName(hot).drop("members")
 
 
@@ -214,7 +270,7 @@ def near_duplicates(
     rows = stored(
         plain.mapInArrow(
             lambda b: _prefixes(b, size, percent, frequent),
-            f"doc_id {id_type}, h1 long, h2 long, n int, s1 long, s2 long, cold int, prefix array<long>",
+            f"doc_id {id_type}, h1 long, h2 long, n int, s1 long, s2 long, cold int, prefix array<long>, bits array<long>",
         ).withColumn("uid", F.monotonically_increasing_id()),
         "shingle_prefixes",
     )
@@ -225,29 +281,18 @@ def near_duplicates(
         ).withColumn("cid", F.col("uid") + F.col("grade") * F.lit(GRADE)),
         "shingle_classes",
     )
-    members = rows.select("uid", "h1", "h2", "n", "cold", "prefix").join(classes.select("uid", "cid"), "uid")
-    shared = stored(_shared(members.drop("h1", "h2", "uid")), "shared_shingles")
-    # Whole sets are made anew, for the classes that share anything.
-    needed = stored(
-        rows.select("uid", "h1", "h2")
-        .join(classes.select("uid", "cid"), "uid")
-        .join(shared.select("cid").distinct(), "cid", "left_semi")
-        .select("h1", "h2", "cid"),
-        "needed_sets",
-    )
-    bits = min(30, max(16, math.ceil(math.log2(max(needed.count(), 1) * 12))))
-    wanted = context.broadcast(bit_filter(needed, "h1", bits))
-    whole = plain.select("h1", "h2", "text").mapInArrow(
-        lambda b: _sets(b, size, wanted), "h1 long, h2 long, shingles array<long>"
-    )
-    # Copies equal in id and text pass more than once.
-    sets = stored(
-        whole.join(needed, ["h1", "h2"]).select("cid", "shingles").dropDuplicates(["cid"]), "shingle_sets"
+    members = rows.join(classes.select("uid", "cid"), "uid").select("cid", "h1", "h2", "n", "cold", "prefix", "bits")
+    shared = stored(_shared(members.select("cid", "n", "cold", "prefix")), "shared_shingles")
+    sketches = stored(
+        members.select("cid", "h1", "h2", "n", "bits").join(shared.select("cid").distinct(), "cid", "left_semi"),
+        "sketches",
     )
     led = shared.where("cid != leader").select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct()
-    first = stored(_verified(led, sets, percent), "leader_links")
+    led = stored(_possible(led, sketches, percent), "leader_pairs")
+    first = stored(_verified(led, sketches, plain, size, percent), "leader_links")
     joined = first.groupBy(F.col("b").alias("cid")).agg(F.least(F.min("a"), F.col("cid")).alias("label"))
-    second = _verified(_open_pairs(shared, joined, percent), sets, percent)
+    rest = stored(_possible(_open_pairs(shared, joined, percent), sketches, percent), "open_pairs")
+    second = _verified(rest, sketches, plain, size, percent)
     component = connected(first.union(second))
     named = classes.join(component, classes.cid == component.node, "left").withColumn(
         "component", F.coalesce("component", "cid")
