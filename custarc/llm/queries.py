@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from custarc.llm import chat, decontaminate, html_text, jaccard, line_dedup, neighbours, packing, pii, quality, sharding
 from custarc.llm.common import table
+from custarc.llm.oracle import ORACLE  # noqa: F401
 
 c = F.col
 
@@ -116,5 +117,3 @@ QUERIES = {
     f.__name__: f
     for f in (op1_line_dedup, op2_packing, op3_quality_classifier, op4_ngram_jaccard, op5_sharding, op6_decontamination, op7_html_extraction, op8_nearest_neighbours, op9_chat_formatting, op10_pii)
 }
-
-ORACLE: dict[str, str] = {}
