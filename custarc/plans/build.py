@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from custarc.operators.quality import GRAIN, grain_check, load_report
 from custarc.plans import core, marts, retention, revenue, staging
 from custarc.plans.intermediate import int_product_usage, int_subscription
 from custarc.settings import Settings
@@ -17,6 +19,9 @@ from custarc.sources.files import load_raw
 from custarc.sources.raw import Sources
 
 
+log = logging.getLogger(__name__)
+
+
 @dataclass(frozen=True)
 class Models:
     """All models over one set of sources, each built once and lazily on first use.
@@ -150,15 +155,45 @@ def build(
     return {name: getattr(models, name) for name in TABLES}
 
 
+def check_tables(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Log how many keys of each table repeat; returns the tables with any."""
+    repeated = {}
+    for name, df in tables.items():
+        if n := grain_check(df, GRAIN[name]).count():
+            log.warning("%s: %d repeated keys (%s)", name, n, ", ".join(GRAIN[name]))
+            repeated[name] = n
+    return repeated
+
+
+class ExportError(RuntimeError):
+    """Some marts could not be exported; ``result`` says which."""
+
+    def __init__(self, result: dict[str, str]):
+        failed = sorted(n for n, state in result.items() if state in ("missing", "failed"))
+        super().__init__(f"not exported: {', '.join(failed)}")
+        self.result = result
+
+
 def run(
     spark: SparkSession,
     data_folder: str,
     location: str,
     export_folder: str | None = None,
     settings: Settings = Settings(),
+    **options: str,
 ) -> dict[str, DataFrame]:
-    """Load a folder of raw files, build everything and export the marts."""
-    tables = build(spark, Sources.of(load_raw(spark, data_folder)), location, settings)
+    """Load a folder of raw files, build everything and export the marts. Row counts of the raw
+    tables and repeated keys of the built ones are logged; a failed export raises ExportError
+    after the others are done. ``options`` are those of the CSV reader."""
+    raw = load_raw(spark, data_folder, **options)
+    if not raw:
+        raise ValueError(f"no table in {data_folder}")
+    for row in load_report(raw).collect():
+        log.info("%s.%s: %d rows", *row)
+    tables = build(spark, Sources.of(raw), location, settings)
+    check_tables(tables)
     if export_folder:
-        export_marts(spark, location, export_folder)
+        result = export_marts(spark, location, export_folder)
+        if {"missing", "failed"} & set(result.values()):
+            raise ExportError(result)
     return tables

@@ -45,7 +45,7 @@ SELECT 'sub_' || CAST(o_custkey AS STRING) AS subscription_id, 'txn_' || CAST(o_
  CASE o_orderpriority WHEN '1-URGENT' THEN 'premium' WHEN '2-HIGH' THEN 'STANDARD' WHEN '3-MEDIUM' THEN 'basic' WHEN '4-NOT SPECIFIED' THEN 'n/a' ELSE NULL END AS plan_name,
  CASE o_orderkey % 4 WHEN 0 THEN 'annual' WHEN 1 THEN 'N/A' WHEN 2 THEN ' monthly' ELSE NULL END AS billing_cycle,
  CASE o_orderkey % 15 WHEN 0 THEN 'canceled' WHEN 3 THEN ' ACTIVE' WHEN 6 THEN NULL ELSE 'active' END AS status,
- CAST(o_orderdate AS STRING) AS current_period_start,
+ CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate AS STRING) ELSE CAST(CAST(o_orderdate AS DATE) + 1 AS STRING) END AS current_period_start,
  CAST(CAST(o_orderdate AS DATE) + 30 AS STRING) AS current_period_end,
  CAST(o_orderdate AS STRING) AS created,
  CASE WHEN o_orderkey % 15 = 0 THEN CAST(CAST(o_orderdate AS DATE) + 200 AS STRING) ELSE NULL END AS canceled_at,
@@ -53,7 +53,7 @@ SELECT 'sub_' || CAST(o_custkey AS STRING) AS subscription_id, 'txn_' || CAST(o_
  CAST(o_orderdate AS STRING) AS valid_from,
  CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) + 365 AS STRING) END AS valid_to,
  o_orderkey % 2 = 0 AS is_current
- FROM {{orders}} WHERE o_orderkey % 3 = 0"""
+ FROM {{orders}}"""
 
 TRANSACTIONS = f"""
 SELECT CASE WHEN o_orderkey % 25 = 24 THEN 're_' ELSE 'txn_' END || CAST(o_orderkey AS STRING) AS transaction_id,
@@ -78,7 +78,7 @@ SELECT 'tk_' || CAST(conv_id AS STRING) || '_' || CAST(turn AS STRING) AS ticket
  CASE conv_id % 3 WHEN 0 THEN 'bug' WHEN 1 THEN 'billing' ELSE 'question' END AS ticket_type, 'subject ' || CAST(turn AS STRING) AS subject, text AS description,
  CASE conv_id % 4 WHEN 0 THEN 'low' WHEN 1 THEN 'normal' WHEN 2 THEN 'high' ELSE NULL END AS priority,
  CASE (conv_id + turn) % 5 WHEN 0 THEN 'Solved' WHEN 1 THEN 'Closed' WHEN 2 THEN 'Open' WHEN 3 THEN 'Pending' ELSE 'New' END AS status,
- CASE turn % 2 WHEN 0 THEN 'email' ELSE 'chat' END AS channel,
+ CASE role WHEN 'user' THEN CASE turn % 2 WHEN 0 THEN 'email' ELSE 'chat' END ELSE role END AS channel,
  CAST(DATE '2024-01-01' + CAST(conv_id % 45 AS INT) AS STRING) || ' 09:00:00' AS created_at,
  CASE WHEN conv_id % 6 = 0 THEN NULL ELSE CAST(DATE '2024-01-01' + CAST(conv_id % 45 AS INT) AS STRING) || ' 11:15:00' END AS first_response_at,
  CAST(DATE '2024-01-02' + CAST(conv_id % 45 AS INT) AS STRING) AS updated_at,
@@ -86,7 +86,7 @@ SELECT 'tk_' || CAST(conv_id AS STRING) || '_' || CAST(turn AS STRING) AS ticket
  CASE turn % 4 WHEN 0 THEN '1.5' WHEN 1 THEN '2.25' WHEN 2 THEN 'n/a' ELSE NULL END AS first_reply_time,
  CASE WHEN (conv_id + turn) % 5 < 2 THEN '24.5' ELSE NULL END AS full_resolution_time,
  CASE WHEN conv_id % 7 = 6 THEN NULL ELSE CAST(conv_id % 7 AS INT) END AS satisfaction_rating
- FROM {{conversations}} WHERE role = 'user'"""
+ FROM {{conversations}}"""
 
 # source -> (mapping, test tables it reads)
 ADAPTERS = {

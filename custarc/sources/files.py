@@ -6,27 +6,46 @@ import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from custarc.sources.raw import COLUMNS
 
 log = logging.getLogger(__name__)
 
 
+# What may separate the columns of a CSV file.
+DELIMITERS = (",", ";", "\t", "|")
+
+
 def _matching(spark: SparkSession, folder: str, suffix: str) -> dict[str, str]:
     """Lower-cased stem -> path of the files (or folders of part files) named *.suffix."""
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(folder, f"*.{suffix}")
-    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(pattern) or []
-    paths = sorted((f.getPath() for f in found), key=lambda p: p.getName())
-    return {p.getName()[: -len(suffix) - 1].lower(): p.toString() for p in paths}
+    root = folder.rstrip("/")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    # Only paths are read. A table is the first level below the folder, one row per table here.
+    name = F.regexp_extract("path", rf"/([^/]+\.{suffix})(?:/|$)", 1)
+    found = listed.select(name.alias("name")).where("name != ''").distinct().collect()
+    names = sorted(r["name"] for r in found)
+    return {n[: -len(suffix) - 1].lower(): f"{root}/{n}" for n in names}
+
+
+def delimiter_of(spark: SparkSession, path: str) -> str:
+    """The separator that occurs most often in the first line, a comma if none does."""
+    first = spark.read.text(path).first()
+    header = first[0] if first else ""
+    return max(DELIMITERS, key=header.count)
 
 
 def _read_csv(spark: SparkSession, name: str, path: str, **options: str) -> DataFrame:
+    """Quotes are doubled inside quotes, and a quoted value may span lines. That makes a file
+    one task, so large tables belong into folders of part files, or Parquet; ``multiLine=False``
+    splits files that have no line breaks in values."""
     # Known sources stay text, to be cast by name; an unknown table has its types inferred,
     # which costs one more pass over that file.
     infer = name not in COLUMNS
-    return spark.read.options(header=True, inferSchema=infer, **options).csv(path)
+    defaults = {"header": True, "inferSchema": infer, "quote": '"', "escape": '"', "multiLine": True}
+    if "sep" not in options:
+        defaults["sep"] = delimiter_of(spark, path)
+    return spark.read.options(**{**defaults, **options}).csv(path)
 
 
 def _read_parquet(spark: SparkSession, name: str, path: str, **options: str) -> DataFrame:
@@ -43,14 +62,15 @@ def load_raw(
     **options: str,
 ) -> dict[str, DataFrame]:
     """One lazy table per file, named by its lower-cased stem. Later formats win on equal
-    names, so Parquet replaces CSV; a format without files is skipped with a warning."""
+    names, so Parquet replaces CSV; a format without files is skipped with a warning.
+    ``options`` are those of Spark's CSV reader, such as ``sep``."""
     tables: dict[str, DataFrame] = {}
     for fmt in formats:
         found = _matching(spark, folder, fmt)
         if not found:
             log.warning("no *.%s file in %s", fmt, folder)
         for name, path in found.items():
-            tables[name] = _READERS[fmt](spark, name, path, **options)
+            tables[name] = _READERS[fmt](spark, name, path, **(options if fmt == "csv" else {}))
     return tables
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Columns per source; everything not in TYPED arrives as text and is parsed in staging.
@@ -42,16 +42,25 @@ TYPED = {
     "discount": "double",
     "refunded": "boolean",
     "refund_amount": "double",
-    "satisfaction_rating": "int",
+    "satisfaction_rating": "double",
 }
 
 
+def _typed(column: str) -> Column:
+    kind = TYPED.get(column, "string")
+    if kind != "int":
+        return F.col(column).try_cast(kind).alias(column)
+    # Tools that have no missing integers write 4 as '4.0'; a fraction is no integer.
+    number = F.col(column).try_cast("double")
+    return F.when(number == F.floor(number), number.try_cast("int")).alias(column)
+
+
 def conform(df: DataFrame, source: str) -> DataFrame:
     """Select a source's columns by name, with numbers and flags in their declared types."""
     missing = [c for c in COLUMNS[source] if c not in df.columns]
     if missing:
         raise ValueError(f"{source}: missing column(s) {', '.join(missing)}")
-    return df.select(*[F.col(c).try_cast(TYPED.get(c, "string")).alias(c) for c in COLUMNS[source]])
+    return df.select(*[_typed(c) for c in COLUMNS[source]])
 
 
 @dataclass(frozen=True)
