@@ -12,6 +12,10 @@ import re
 from custarc.functions.keys import NULL_PART
 from custarc.sources.adapters import ADAPTERS
 
+TABLES = (
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem",
+    "nation", "orders", "pages", "part", "region", "supplier",
+)
 SPINE_START, SPINE_LAST, HORIZON, MAX_MONTHS = "1996-01-01", "2024-01-31", "2001-06-30", 12
 
 
@@ -31,7 +35,7 @@ def mail(e: str) -> str:
 
 def key(*cols: str) -> str:
     parts = [f"coalesce(CAST({c} AS VARCHAR), '{NULL_PART}')" for c in cols]
-    return f"md5({' || chr(45) || '.join(parts)})"
+    return f"md5({" || '-' || ".join(parts)})"
 
 
 def prop(name: str) -> str:
@@ -331,7 +335,8 @@ FINALS |= {
     # keys and measures
     "surrogate_key": f"""SELECT subscription_id, valid_from, valid_to, {key("subscription_id", "valid_from")} AS subscription_sk,
  {key("subscription_id", "valid_to")} AS closing_sk FROM stg_subscription""",
-    "line_total": "SELECT transaction_id, round(price * quantity * (1 - discount), 2) AS total_amount FROM stg_transaction",
+    "line_total": """SELECT l_orderkey, l_linenumber,
+ round(l_extendedprice * l_quantity * (1 - l_discount), 2) AS total_amount FROM lineitem""",
     "net_price": "SELECT transaction_id, price * (1 - discount) AS net_price FROM stg_transaction",
     "activation_bucket": """SELECT user_id, signup_date, CAST(days_to_first_action AS BIGINT) AS days_to_first_action, activated_bucket,
  is_activated FROM bucketed""",
@@ -381,9 +386,7 @@ FINALS |= {
     "cohort_month_rank": "SELECT DISTINCT subscription_id, valid_from, months_since_start FROM ret_ranked",
     # checks and export
     "grain_check": "SELECT subscription_sk, count(*) AS n FROM dim_subscription GROUP BY subscription_sk HAVING count(*) > 1",
-    "load_report": """SELECT 'raw' AS schema, 'customer' AS "table", count(*) AS rows FROM customer
- UNION ALL SELECT 'raw', 'events', count(*) FROM events UNION ALL SELECT 'raw', 'lineitem', count(*) FROM lineitem
- UNION ALL SELECT 'raw', 'orders', count(*) FROM orders""",
+    "load_report": " UNION ALL ".join(f"""SELECT 'raw' AS schema, '{t}' AS "table", count(*) AS rows FROM {t}""" for t in TABLES),
     "export_shape": """SELECT ticket_id, user_sk, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at,
  strftime(solved_at, '%Y-%m-%d %H:%M:%S') AS solved_at, strftime(CAST(cal.day AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS created_date,
  first_reply_time, satisfaction_rating FROM fact_support LEFT JOIN cal ON cal.id = created_at_id""",
@@ -395,13 +398,14 @@ FINALS |= {
     "kpi_top_lead_source": """SELECT lead_source, CAST(sum(sum_new_signups) AS BIGINT) AS new_signups FROM mart_acquisition
  GROUP BY lead_source ORDER BY new_signups DESC, lead_source NULLS LAST LIMIT 3""",
     "kpi_daily_active_users": "SELECT event_date, count(DISTINCT user_sk) AS dau FROM mart_engagement GROUP BY event_date",
-    "kpi_engagement": f"""SELECT CAST(date_trunc('month', event_date) AS DATE) AS month,
- {ratio("count(DISTINCT (user_sk, event_date)) FILTER (WHERE event_date IS NOT NULL)", "count(DISTINCT event_date)")} AS dau,
+    "kpi_engagement": f"""SELECT CAST(date_trunc('month', day) AS DATE) AS month,
+ {ratio("count(DISTINCT (user_sk, day)) FILTER (WHERE day IS NOT NULL)", "count(DISTINCT day)")} AS dau,
  count(DISTINCT user_sk) AS mau,
- round(CAST(count(DISTINCT (user_sk, event_date)) FILTER (WHERE event_date IS NOT NULL) AS DOUBLE)
- / nullif(count(DISTINCT event_date), 0) / count(DISTINCT user_sk), 6) AS stickiness,
- {ratio("sum(sum_session_duration)", "sum(distinct_sessions)")} AS avg_session_duration,
- {ratio("sum(total_events)", "sum(distinct_sessions)")} AS avg_events_per_session FROM mart_engagement GROUP BY 1""",
+ round(CAST(count(DISTINCT (user_sk, day)) FILTER (WHERE day IS NOT NULL) AS DOUBLE)
+ / nullif(count(DISTINCT day), 0) / count(DISTINCT user_sk), 6) AS stickiness,
+ {ratio("sum(coalesce(session_duration, 0))", "count(DISTINCT (user_sk, session_id)) FILTER (WHERE session_id IS NOT NULL)")} AS avg_session_duration,
+ {ratio("count(event_id)", "count(DISTINCT (user_sk, session_id)) FILTER (WHERE session_id IS NOT NULL)")} AS avg_events_per_session
+ FROM fact_product_usage LEFT JOIN cal ON cal.id = event_timestamp_id WHERE user_sk IS NOT NULL GROUP BY 1""",
     "kpi_retention": f"""SELECT current_month, {ratio("sum(cohort_size)", "sum(cohort_size + churned_users)")} AS retention_rate,
  {ratio("sum(churned_users)", "sum(cohort_size + churned_users)")} AS user_churn_rate,
  {ratio("sum(cancellation_mrr + contraction_mrr)", "sum(new_mrr + renewal_mrr)")} AS revenue_churn,
@@ -409,12 +413,13 @@ FINALS |= {
  FROM mart_retention_corrected GROUP BY current_month""",
     "kpi_revenue": f"""SELECT transaction_month,
  round(sum(new_mrr + expansion_mrr + renewal_mrr - contraction_mrr - cancellation_mrr), 6) AS mrr,
- {ratio("sum(new_mrr + expansion_mrr + renewal_mrr - contraction_mrr - cancellation_mrr)", "sum(paying_users)")} AS arpu,
+ {ratio("sum(new_mrr + expansion_mrr + renewal_mrr - contraction_mrr - cancellation_mrr)", "any_value(payers)")} AS arpu,
  {ratio("sum(refund_count)", "sum(transaction_count)")} AS refund_rate,
  {ratio("sum(failed_count)", "sum(failed_count + success_count)")} AS payment_failure_rate
- FROM mart_revenue_corrected GROUP BY transaction_month""",
-    "kpi_plan_mix": f"""SELECT plan_name, CAST(sum(transaction_count) AS BIGINT) AS transactions,
- {ratio("sum(transaction_count)", "sum(sum(transaction_count)) OVER ()")} AS share FROM mart_revenue_corrected GROUP BY plan_name""",
+ FROM mart_revenue_corrected LEFT JOIN (SELECT month(transaction_date) AS m, count(DISTINCT user_sk) AS payers
+ FROM rev_rows WHERE status = 'Succeeded' GROUP BY 1) ON m IS NOT DISTINCT FROM transaction_month GROUP BY transaction_month""",
+    "kpi_plan_mix": f"""SELECT plan_name, count(DISTINCT transaction_id) AS transactions,
+ {ratio("count(DISTINCT transaction_id)", "sum(count(DISTINCT transaction_id)) OVER ()")} AS share FROM rev_rows GROUP BY plan_name""",
     "kpi_support": f"""SELECT channel, {ratio("sum(sum_satisfaction_rating)", "sum(count_tickets_rated)")} AS csat,
  CAST(sum(ticket_count) AS BIGINT) AS total_tickets,
  {ratio("sum(sum_first_reply_time)", "sum(count_tickets_with_reply)")} AS first_reply_time,

@@ -29,6 +29,7 @@ from custarc.settings import Settings
 from custarc.sinks.export import to_export_shape
 from custarc.sinks.tables import cut_into, scratch_folder
 from custarc.sources.adapters import AdaptedSources
+from custarc.sources.files import load_raw
 
 # The test tables span 1995-2001 (orders) and January 2024 (events, tickets); 1995 is left
 # outside the calendar so that missing date ids occur.
@@ -89,6 +90,11 @@ def _revenue_corrected(m: Models) -> DataFrame:
     return revenue.mart_revenue(m.fact_transaction, m.dim_subscription, _corrected(m), m.cut)
 
 
+def _kpi_revenue(m: Models) -> DataFrame:
+    months = revenue.transaction_months(m.fact_transaction, m.dim_subscription, m.settings, m.cut)
+    return kpis.kpi_revenue(revenue.mart_of(months, _corrected(m)), months)
+
+
 def _retention_corrected(m: Models) -> DataFrame:
     return retention.mart_retention(m.dim_subscription, m.fact_transaction, _corrected(m))
 
@@ -108,8 +114,7 @@ def _order_days(m: Models) -> DataFrame:
 
 
 def _load_report(m: Models) -> DataFrame:
-    names = ("customer", "events", "lineitem", "orders")
-    return load_report({t: m.spark.read.parquet(f"{m.sources._folder}/{t}.parquet") for t in names})
+    return load_report(load_raw(m.spark, m.sources._folder, ("parquet",)))
 
 
 def _paid_versions(m: Models) -> DataFrame:
@@ -266,9 +271,10 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
         surrogate_key(c("subscription_id"), c("valid_from")).alias("subscription_sk"),
         surrogate_key(c("subscription_id"), c("valid_to")).alias("closing_sk"),
     ),
-    "line_total": lambda m: m.stg_transaction.select(
-        "transaction_id",
-        measures.line_total(c("price"), c("quantity"), c("discount")).alias("total_amount"),
+    "line_total": lambda m: m.spark.read.parquet(f"{m.sources._folder}/lineitem.parquet").select(
+        "l_orderkey",
+        "l_linenumber",
+        measures.line_total(c("l_extendedprice"), c("l_quantity"), c("l_discount")).alias("total_amount"),
     ),
     "net_price": lambda m: m.stg_transaction.select(
         "transaction_id", measures.net_price(c("price"), c("discount")).alias("net_price")
@@ -382,10 +388,10 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "kpi_acquisition": lambda m: kpis.kpi_acquisition(m.mart_acquisition),
     "kpi_top_lead_source": lambda m: kpis.kpi_top_lead_source(m.mart_acquisition, 3),
     "kpi_daily_active_users": lambda m: kpis.daily_active_users(m.mart_engagement),
-    "kpi_engagement": lambda m: kpis.kpi_engagement(m.mart_engagement),
+    "kpi_engagement": lambda m: kpis.kpi_engagement(m.fact_product_usage, m.settings),
     "kpi_retention": lambda m: kpis.kpi_retention(_retention_corrected(m)),
-    "kpi_revenue": lambda m: kpis.kpi_revenue(_revenue_corrected(m)),
-    "kpi_plan_mix": lambda m: kpis.kpi_plan_mix(_revenue_corrected(m)),
+    "kpi_revenue": _kpi_revenue,
+    "kpi_plan_mix": lambda m: kpis.kpi_plan_mix(_months(m)),
     "kpi_support": lambda m: kpis.kpi_support(m.mart_support),
 }
 

@@ -18,7 +18,9 @@ def net_price(price: Column, discount: Column) -> Column:
 
 
 def line_total(price: Column, quantity: Column, discount: Column) -> Column:
-    return F.round(price * quantity * (1 - discount), 2)
+    """Price after discount for all units, to the cent. Cents are rounded as a binary number,
+    so that 16423.5 goes up whatever decimals the product prints with."""
+    return F.round(price * quantity * (1 - discount) * 100) / 100
 
 
 def activation_bucket(days: Column) -> Column:

@@ -10,9 +10,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A full year-month-day with - or /, optionally followed by a time. Spark's own cast would
-# also take '2025' or '2025-01' and ignore any text after a date.
-_DATE_SHAPE = r"^\s*\d{4}[-/]\d{1,2}[-/]\d{1,2}([T ]\d.*)?\s*$"
+# A full year-month-day with - or /, optionally followed by hours and minutes or more. Spark's
+# own cast would also take '2025' or '2025-01' and ignore any text after a date.
+_DATE_SHAPE = r"^\s*\d{4}([-/])\d{1,2}\1\d{1,2}([T ]\d{1,2}:\d{1,2}.*)?\s*$"
 
 
 def to_ts_lenient(col: Column) -> Column:

@@ -18,13 +18,6 @@ LAST_PLAN = "Ultimate"
 TYPE_WORDS = ("upgrade", "new", "downgrade", "renewal")
 
 
-def _either(*conditions: Column) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out | c
-    return out
-
-
 def capitalize_words(col: Column) -> Column:
     """Lower-case, then capitalise each whitespace-separated word; runs of whitespace become
     one space (``initcap`` alone keeps them and only breaks words at spaces)."""

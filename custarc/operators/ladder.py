@@ -29,6 +29,10 @@ def day_number(at: str) -> Column:
     return F.datediff(F.to_date(at), F.lit("1970-01-01").cast("date"))
 
 
+def hour_number(at: str) -> Column:
+    return day_number(at) * 24 + F.hour(at)
+
+
 def month_number(at: str) -> Column:
     return F.year(at) * 12 + F.month(at)
 
@@ -50,7 +54,8 @@ def previous_value(
     Rows are ordered by ``at``, then ``value``, then ``ties``, NULLs last; rows equal in all
     of these are interchangeable. ``weight`` is the number of equal rows an input row stands
     for, ``copies`` that of an output row. ``period`` is an integer that never falls as ``at``
-    grows. Set ``counted_before`` when the input has few equal rows left: they are then
+    grows within an entity; it lies in one month, and rows without an entity should have short
+    periods, as there may be many of them. Set ``counted_before`` when the input has few equal rows left: they are then
     counted after the shuffle by entity and period instead of before it. ``month_rank`` names
     an extra column: the 0-based dense rank, within the entity, of the month of ``at``
     (January = 1, whatever the year).
@@ -70,17 +75,17 @@ def previous_value(
 
     order = [F.col(c).asc_nulls_last() for c in (at, value, *ties)]
     in_period = Window.partitionBy(*SPREAD).orderBy(*order)
+    pos = F.row_number().over(in_period)
     stepped = counted.withColumns(
-        {"_before": F.lag(value).over(in_period), "_pos": F.row_number().over(in_period)}
+        {"_before": F.lag(value).over(in_period), "_pos": pos, "_next": F.lead(F.lit(1)).over(in_period)}
     )
 
-    # _n keeps the columns of both branches the same, so that they share one shuffle.
-    latest = F.struct(F.col(at).isNull(), F.col(at), F.col(value).isNull(), F.col(value))
-    periods = counted.groupBy(*SPREAD).agg(
-        F.max_by(F.struct(value, "_n"), latest).alias("_latest"), F.max(F.month(at)).alias("_month")
+    # The last row of a period stands for it.
+    periods = stepped.where("_next IS NULL").select(
+        *SPREAD, F.col(value).alias("_latest"), F.month(at).alias("_month")
     )
     of_entity = Window.partitionBy("_known", "_entity")
-    carry = F.lag(F.col("_latest")[value]).over(of_entity.orderBy("_period"))
+    carry = F.lag("_latest").over(of_entity.orderBy("_period"))
     found = [carry.alias("_carry")]
     if month_rank:
         by_month = of_entity.orderBy(F.col("_month").asc_nulls_last())

@@ -1,4 +1,4 @@
-"""Headline figures over the marts. Ratios are rounded to six decimals; a ratio without a
+"""Headline figures over the marts, or over the facts where a mart's distinct counts do not add up. Ratios are rounded to six decimals; a ratio without a
 denominator is NULL. Use the revenue and retention marts in 'corrected' MRR mode."""
 
 from __future__ import annotations
@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custarc.functions.temporal import month_start
+from custarc.operators.spine import full_date
+from custarc.plans.marts import known_users
+from custarc.settings import Settings
 
 
 def _ratio(numerator: Column, denominator: Column) -> Column:
@@ -40,28 +43,35 @@ def daily_active_users(mart: DataFrame) -> DataFrame:
     return mart.groupBy("event_date").agg(F.count_distinct("user_sk").alias("dau"))
 
 
-def kpi_engagement(mart: DataFrame) -> DataFrame:
-    """Per month: mean daily and monthly active users, their ratio, and per-session means."""
-    # One row per user and day, then per user and month: every level aggregates map side.
-    month = month_start(F.col("event_date")).alias("month")
-    per_day = mart.groupBy("user_sk", "event_date").agg(
-        *[F.sum(c).alias(c) for c in ("total_events", "distinct_sessions", "sum_session_duration")]
+def kpi_engagement(usage: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """Per month: mean daily and monthly active users, their ratio, and per-session means, from
+    fact_product_usage. A session belongs to one user; it counts once per month, whatever number
+    of days and features it spans. Events without a session count for no session."""
+    day = full_date(F.col("event_timestamp_id"), s).alias("event_date")
+    # One row per user, day and session, then fewer columns step by step: every level
+    # aggregates map side, and no count needs its rows expanded.
+    finest = (
+        known_users(usage)
+        .select("user_sk", "session_id", "event_id", day, F.coalesce("session_duration", F.lit(0)).alias("_d"))
+        .groupBy(month_start(F.col("event_date")).alias("month"), "event_date", "user_sk", "session_id")
+        .agg(F.count("event_id").alias("_events"), F.sum("_d").alias("_duration"))
     )
-    per_month = per_day.groupBy("user_sk", month).agg(
-        F.count("event_date").alias("_active_days"),
-        *[F.sum(c).alias(c) for c in ("total_events", "distinct_sessions", "sum_session_duration")],
+    per_session = finest.groupBy("month", "user_sk", "session_id").agg(
+        F.sum("_events").alias("_events"), F.sum("_duration").alias("_duration")
     )
-    days = per_day.groupBy(month).agg(F.count_distinct("event_date").alias("_days"))
-    totals = per_month.groupBy("month").agg(
-        F.count("*").alias("mau"),
-        F.sum("_active_days").alias("_user_days"),
-        F.sum("total_events").alias("_events"),
-        F.sum("distinct_sessions").alias("_sessions"),
-        F.sum("sum_session_duration").alias("_duration"),
+    per_user = per_session.groupBy("month", "user_sk").agg(
+        F.count("session_id").alias("_sessions"), F.sum("_events").alias("_events"), F.sum("_duration").alias("_duration")
+    )
+    totals = per_user.groupBy("month").agg(
+        F.count("*").alias("mau"), *[F.sum(n).alias(n) for n in ("_sessions", "_events", "_duration")]
+    )
+    per_day = finest.select("month", "event_date", "user_sk").distinct().groupBy("month", "event_date").count()
+    days = per_day.groupBy(F.col("month").alias("_m")).agg(
+        F.count("event_date").alias("_days"),
+        F.sum(F.when(F.col("event_date").isNotNull(), F.col("count")).otherwise(F.lit(0))).alias("_user_days"),
     )
-    right = days.withColumnRenamed("month", "_m")
     dau = F.try_divide(F.col("_user_days").cast("double"), F.col("_days").cast("double"))
-    return totals.join(right, F.col("month").eqNullSafe(F.col("_m"))).select(
+    return totals.join(days, F.col("month").eqNullSafe(F.col("_m"))).select(
         "month",
         F.round(dau, 6).alias("dau"),
         "mau",
@@ -84,8 +94,10 @@ def kpi_retention(mart: DataFrame) -> DataFrame:
     )
 
 
-def kpi_revenue(mart: DataFrame) -> DataFrame:
-    """Per month number: MRR, MRR per paying user, refund and payment failure rates."""
+def kpi_revenue(mart: DataFrame, months: DataFrame) -> DataFrame:
+    """Per month number: MRR, MRR per user with a succeeded payment, refund and payment failure
+    rates, from the mart and the rows of transaction_months it was made of. A user counts once
+    per month number, whatever number of plans and payment methods they use."""
     mrr = F.sum(
         F.col("new_mrr")
         + F.col("expansion_mrr")
@@ -94,17 +106,32 @@ def kpi_revenue(mart: DataFrame) -> DataFrame:
         - F.col("cancellation_mrr")
     )
     failed = F.sum("failed_count")
-    return mart.groupBy("transaction_month").agg(
-        F.round(mrr, 6).alias("mrr"),
-        _ratio(mrr, F.sum("paying_users")).alias("arpu"),
+    paying = (
+        months.where("status = 'Succeeded' AND user_sk IS NOT NULL")
+        .select(F.month("transaction_date").cast("long").alias("_m"), "user_sk")
+        .distinct()
+        .groupBy("_m")
+        .agg(F.count("*").alias("_paying"))
+    )
+    figures = mart.groupBy("transaction_month").agg(
+        mrr.alias("_mrr"),
         _ratio(F.sum("refund_count"), F.sum("transaction_count")).alias("refund_rate"),
         _ratio(failed, failed + F.sum("success_count")).alias("payment_failure_rate"),
     )
+    return figures.join(paying, F.col("transaction_month").eqNullSafe(F.col("_m")), "left").select(
+        "transaction_month",
+        F.round("_mrr", 6).alias("mrr"),
+        _ratio(F.col("_mrr"), F.col("_paying")).alias("arpu"),
+        "refund_rate",
+        "payment_failure_rate",
+    )
 
 
-def kpi_plan_mix(mart: DataFrame) -> DataFrame:
-    """Transactions per plan and each plan's share."""
-    per_plan = mart.groupBy("plan_name").agg(F.sum("transaction_count").alias("transactions"))
+def kpi_plan_mix(months: DataFrame) -> DataFrame:
+    """Payments per plan and each plan's share, from the rows of transaction_months; a payment
+    counts once per plan, not once per month it covers."""
+    payments = months.where("transaction_id IS NOT NULL").select("plan_name", "transaction_id").distinct()
+    per_plan = payments.groupBy("plan_name").agg(F.count("*").alias("transactions"))
     total = per_plan.agg(F.sum("transactions")).scalar()
     return per_plan.select(
         "plan_name", "transactions", _ratio(F.col("transactions"), total).alias("share")

@@ -16,7 +16,7 @@ from custarc.functions.temporal import add_months_ts, month_start, months_crosse
 from custarc.functions.text import default_label
 from custarc.operators.expansion import explode_month_counts
 from custarc.operators.joins import left_join_when
-from custarc.operators.ladder import SPREAD, month_number, previous_value
+from custarc.operators.ladder import SPREAD, hour_number, month_number, previous_value
 from custarc.settings import Settings
 
 # Tie order of the look back, after time and price.
@@ -109,7 +109,9 @@ def with_old_price(months: DataFrame) -> DataFrame:
         ties=TIES,
         weight="weight",
         out="old_price",
-        period=month_number("valid_from"),
+        period=F.when(F.col("subscription_id").isNull(), hour_number("valid_from")).otherwise(
+            month_number("valid_from")
+        ),
         counted_before=True,
         month_rank="months_since_start",
     )
@@ -129,8 +131,9 @@ def mart_retention(
     keys = ["current_month", "months_since_start", "plan_name", "billing_cycle", "churn_reason"]
     known = F.col("subscription_id").isNotNull()
 
-    # Rows are spread by subscription and month, so grouping by these first needs no shuffle
-    # and turns the distinct counts of subscriptions into sums of flags.
+    # Rows are spread by subscription and month (without a subscription, which no distinct count
+    # sees, by hour), so grouping by these first needs no shuffle and turns the distinct counts of
+    # subscriptions into sums of flags.
     per_subscription = (
         state.withColumn("current_month", month_start(F.col("valid_from")))
         .groupBy(*SPREAD, *keys, "subscription_id")

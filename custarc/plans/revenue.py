@@ -162,7 +162,11 @@ def mart_revenue(
 ) -> DataFrame:
     """transaction_month x plan_name x billing_cycle x transaction_type x payment_method x
     failure_code. The payments are read twice, so pass a ``cut`` that stores them once."""
-    months = transaction_months(transactions, subscriptions, s, cut)
+    return mart_of(transaction_months(transactions, subscriptions, s, cut), s)
+
+
+def mart_of(months: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """The mart from the result of transaction_months."""
     weight, txn = F.col("weight"), F.col("transaction_id")
 
     def rows_where(condition: Column) -> Column:

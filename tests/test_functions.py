@@ -132,3 +132,19 @@ def test_measures(spark, values):
     ).collect()
     assert [r.a for r in out] == ["t", measures.RENEWAL, measures.CANCELLATION]
     assert [r.b for r in out] == ["t", measures.CANCELLATION, "t"]
+
+
+def test_line_totals_round_as_binary_numbers(spark):
+    cases = [(109.49, 2, 0.25, 164.24), (10.0, 1, 0.0, 10.0), (0.05, 3, 0.1, 0.14), (-2.345, 1, 0.0, None)]
+    df = spark.createDataFrame([c[:3] for c in cases], "p double, q int, d double")
+    found = [r[0] for r in df.select(measures.line_total(df.p, df.q, df.d)).collect()]
+    for (p, q, d, expected), got in zip(cases, found):
+        cents = p * q * (1 - d) * 100
+        assert got == (int(abs(cents) + 0.5) / 100 * (1 if cents > 0 else -1))
+        assert expected is None or got == expected
+
+
+def test_dates_of_one_separator_and_whole_times(values):
+    inputs = ["2025-01/05", "2025/01/05", "2025-01-05 10", "2025-01-05 10:30", "2025-01-05T10:30:15.5"]
+    found = values(temporal.to_ts_lenient, inputs)
+    assert found == [None, datetime(2025, 1, 5), None, datetime(2025, 1, 5, 10, 30), datetime(2025, 1, 5, 10, 30, 15, 500000)]

@@ -88,7 +88,9 @@ def built(request, spark, tmp_path_factory):
     con = duckdb.connect()
     frames = {}
     for name, rows in raw_rows(request.param).items():
-        schema = ", ".join(f"{c} {TYPED.get(c, 'string')}" for c in COLUMNS[name])
+        # Whole ratings, as the SQL adds them up as integers.
+        kinds = TYPED | {"satisfaction_rating": "int"}
+        schema = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in COLUMNS[name])
         frames[name] = spark.createDataFrame(rows, schema).coalesce(1)
         con.execute(f"CREATE TABLE {name} ({schema})")
         con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(COLUMNS[name]))})", rows)

@@ -3,11 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.queries import QUERIES, SETTINGS, models
 from custarc.operators.joins import lookup_left, with_user_sk
 from custarc.plans.retention import mart_retention
+from custarc.plans.retention import with_old_price as retention_old_price
 from custarc.plans.revenue import mart_revenue, transaction_months, with_old_price
 from custarc.sinks.tables import cut_into
 
@@ -113,3 +115,26 @@ def test_marts_read_only_their_columns(stored):
     assert not re.search(r"currency|loaded_at|current_period_end|total_amount", schemas)
     pushed = " ".join(re.findall(r"PushedFilters: \[[^\]]*\]", text))
     assert "EqualTo(status,Succeeded)" in pushed and "EqualTo(billing_cycle,Annual)" in pushed
+
+
+def test_look_back_over_rows_without_a_subscription_is_spread(spark, conf):
+    """Nine of ten rows have no subscription and fall into one month."""
+    conf(adaptive__enabled="false", shuffle__partitions="16")
+    n = F.col("id")
+    months = spark.range(60000).select(
+        F.when(n % 10 == 0, F.concat(F.lit("s"), (n / 10).cast("string"))).alias("subscription_id"),
+        F.timestamp_seconds(F.lit(1704067200) + (n * 7919) % 2592000).cast("timestamp_ntz").alias("valid_from"),
+        (n % 97).cast("double").alias("price"),
+        *[F.lit("x").alias(c) for c in ("transaction_type", "status", "plan_name", "billing_cycle", "churn_reason")],
+        F.lit(1).cast("long").alias("weight"),
+    )
+    found = retention_old_price(months)
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 60000 and max(sizes) < 2 * 60000 / 16
+    at = F.struct("valid_from", "price")
+    expected = (
+        months.where("subscription_id IS NULL")
+        .select(at.alias("at"), F.lag("price").over(Window.orderBy("valid_from", "price")).alias("old"))
+    )
+    got = found.where("subscription_id IS NULL").select(at.alias("at"), F.col("old_price").alias("old"))
+    assert got.exceptAll(expected).count() == 0
