@@ -41,8 +41,9 @@ MIN_TEXTS = 3
 DAMPING = 3e-4  # keeps Adam from moving rare features as fast as common ones
 OF_TEXT = 4  # features of a text as a whole
 WHOLE = 2.0  # their value; a word's is divided by the square root of the number of words
-STEPS = 200
-PENALTY = 5e-5
+STEPS = 400
+STRETCH = 1 << 19  # features multiplied at a time
+PENALTY = 1e-4
 CACHED_WORDS = 400_000
 
 _EDGES = re.compile(r"^(\W*)(.*?)(\W*)$", re.S)
@@ -88,7 +89,7 @@ def features(text: str | None, known) -> np.ndarray:
     words = (text or "").split()
     found = [known[w] for w in set(words)]
     whole = text_features(len(words), len(found), sum(f[4] for f in found), sum(f[5] for f in found))
-    return np.array(whole + [slot for f in found for slot in f[:4]], np.int64)
+    return np.array(whole + [slot for f in found for slot in f[:4]], np.int32)
 
 
 @dataclass
@@ -122,18 +123,19 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(x / 2))
 
 
-def fit_arrays(slots: list[np.ndarray], grades: np.ndarray, weight: np.ndarray, n_grades: int) -> Model:
-    """Maximum likelihood with a small L2 penalty by Adam steps over the whole sample."""
-    lengths = np.array([len(s) for s in slots])
-    flat = np.concatenate(slots)
-    # A feature of one or two texts would only learn these texts by heart.
-    texts = np.bincount(np.concatenate([np.unique(x) for x in slots]), minlength=1 << BITS)
-    known = texts >= MIN_TEXTS
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+def fit_arrays(flat: np.ndarray, lengths: np.ndarray, grades: np.ndarray, weight: np.ndarray, n_grades: int) -> Model:
+    """Maximum likelihood with a small L2 penalty by Adam steps over the whole sample. ``flat`` holds
+    the feature numbers of all texts, ``lengths`` how many of them each text has."""
+    starts = np.concatenate([[0], np.cumsum(lengths)])
     # Four features per distinct word behind those of the text.
     of_words = 1 / np.sqrt(np.maximum(1, (lengths - OF_TEXT) / 4))
-    value = np.repeat(of_words, lengths)
-    value[(starts[:, None] + np.arange(OF_TEXT)).ravel()] = WHOLE
+    value = np.repeat(of_words, lengths).astype(np.float32)
+    value[(starts[:-1, None] + np.arange(OF_TEXT)).ravel()] = WHOLE
+    # A feature of one or two texts would only learn these texts by heart.
+    texts = np.zeros(1 << BITS, np.int32)
+    for a, b in zip(starts[:-1], starts[1:]):
+        texts[np.unique(flat[a:b])] += 1
+    known = texts >= MIN_TEXTS
     share = weight / weight.sum()
     below = np.array([share[grades < k].sum() for k in range(1, n_grades)])
     below = np.clip(below, 1e-3, 1 - 1e-3)
@@ -142,9 +144,12 @@ def fit_arrays(slots: list[np.ndarray], grades: np.ndarray, weight: np.ndarray,
     gaps = np.concatenate([cut[:1], np.log(np.maximum(np.diff(cut), 0.05))])
     w = np.zeros(1 << BITS)
     moments = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(gaps), np.zeros_like(gaps)]
+    # A stretch of texts at a time, so that the products of a step stay small.
+    cuts = [0, *(np.flatnonzero(np.diff(starts[1:] // STRETCH)) + 1), len(lengths)]
+    parts = [(a, b, slice(starts[a], starts[b])) for a, b in zip(cuts[:-1], cuts[1:]) if a < b]
     for step in range(1, STEPS + 1):
         theta = np.cumsum(np.concatenate([gaps[:1], np.exp(gaps[1:])]))
-        s = np.add.reduceat(w[flat] * value, starts)
+        s = np.concatenate([np.add.reduceat(w[flat[x]] * value[x], starts[a:b] - starts[a]) for a, b, x in parts])
         edges = np.concatenate([[-np.inf], theta, [np.inf]])
         upper, lower = _logistic(edges[grades + 1] - s), _logistic(edges[grades] - s)
         p = np.maximum(upper - lower, 1e-9)
@@ -156,7 +161,9 @@ def fit_arrays(slots: list[np.ndarray], grades: np.ndarray, weight: np.ndarray,
         d_theta = d_theta[1:n_grades]
         tails = np.cumsum(d_theta[::-1])[::-1]
         d_gaps = np.concatenate([tails[:1], tails[1:] * np.exp(gaps[1:])])
-        d_w = np.bincount(flat, np.repeat(d_s, lengths) * value, len(w)) * known + PENALTY * w
+        d_w = PENALTY * w
+        for a, b, x in parts:
+            d_w += np.bincount(flat[x], np.repeat(d_s[a:b], lengths[a:b]) * value[x], len(w)) * known
         for x, d, k in ((w, d_w, 0), (gaps, d_gaps, 2)):
             moments[k] = 0.9 * moments[k] + 0.1 * d
             moments[k + 1] = 0.99 * moments[k + 1] + 0.01 * d * d
@@ -169,7 +176,7 @@ def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = _Known(word_features)
     for batch in batches:
         found = [features(t, known) for t in batch["text"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch["grade"], lists(found, pa.int64())], names=["grade", "slots"])
+        yield pa.RecordBatch.from_arrays([batch["grade"], lists(found, pa.int32())], names=["grade", "slots"])
 
 
 def rated_sample(
@@ -198,13 +205,16 @@ def rated_sample(
 def fit(docs: DataFrame, ratings: DataFrame, **options) -> Model | None:
     """Fit grades 0, 1, ... of ``ratings`` (doc_id, grade) to the texts of ``docs``."""
     sample, counts = rated_sample(docs, ratings, **options)
-    rows = sample.orderBy("doc_id").select("text", "grade").mapInArrow(_features_of, "grade int, slots array<long>").toPandas()
+    ordered = sample.orderBy("doc_id").select("text", "grade")
+    rows = ordered.mapInArrow(_features_of, "grade int, slots array<int>").toArrow().combine_chunks()
     grades = rows["grade"].to_numpy()
-    if len(set(grades)) < 2:
+    if len(set(grades.tolist())) < 2:
         return None
     sampled = np.bincount(grades)
-    weight = np.array([counts[g] / sampled[g] for g in grades])
-    return fit_arrays([np.asarray(s) for s in rows["slots"]], grades, weight, max(counts) + 1)
+    weight = np.array([counts[g] / sampled[g] for g in grades.tolist()])
+    slots = rows["slots"].combine_chunks()
+    lengths = np.diff(slots.offsets.to_numpy()).astype(np.int64)
+    return fit_arrays(slots.flatten().to_numpy(), lengths, grades, weight, max(counts) + 1)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

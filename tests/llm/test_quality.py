@@ -45,7 +45,8 @@ def test_the_sample_is_bounded_and_weighted(spark, documents):
 def test_gradient_finds_a_separating_order():
     slots = [np.concatenate([np.arange(4), [10 + g] * 8]) for g in (0, 1, 2) for _ in range(20)]
     grades = np.repeat([0, 1, 2], 20)
-    model = fit_arrays(slots, grades, np.ones(60), 3)
+    lengths = np.array([len(x) for x in slots])
+    model = fit_arrays(np.concatenate(slots).astype(np.int32), lengths, grades, np.ones(60), 3)
     w = model.weights
     assert w[10] < w[11] < w[12]
 
