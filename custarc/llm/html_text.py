@@ -61,13 +61,15 @@ GOOD_TAGS = frozenset("article main".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 BAD_NAMES = frozenset(
     """
-    ad ads adsense advert adverts advertisement advertising advertorial alert aside banner bottombar breadcrumb
-    breadcrumbs comment comments commentlist consent cookie cookies copyright disclaimer discussion disqus footer form
-    gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination
-    popup promo promotion recommended related replies reply respond search share sharing sidebar signin signup skip
-    social sponsor sponsored subscribe subscription tags toolbar topbar widget
+    ad ads adsense advert adverts advertisement advertising advertorial alert announcement aside banner bottombar
+    breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright disclaimer discussion disqus
+    footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification
+    overlay pager pagination paywall popup promo promotion recommended related replies reply respond responses search
+    share sharing sidebar signin signup skip social sponsor sponsored subscribe subscription tags toast toolbar topbar
+    trending widget
     """.split()
 )
+LAYOUT_NAMES = frozenset("has no with without".split())  # the name behind them says what a page has
 GOOD_NAMES = frozenset("article content entry main post story".split())
 
 _TOKEN = re.compile(
@@ -98,12 +100,15 @@ def _place(tag: str, attributes: str, inside: int) -> int:
         if name == "role":
             role = value.lower()
         elif name in ("class", "id"):
-            named += [w.lower() for w in _NAME.findall(value)]
+            words = [w.lower() for w in _NAME.findall(value)]
+            named += [w for before, w in zip(["", *words], words) if before not in LAYOUT_NAMES]
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or _HIDDEN.search(value):
             return -1
     if tag in BAD_TAGS and not (tag == "header" and inside > 0) or role in BAD_ROLES:
         return -1
-    if tag not in ("body", "html") and not BAD_NAMES.isdisjoint(named):
+    # An article may have a header of its own.
+    bad = BAD_NAMES.intersection(named) - ({"header"} if inside > 0 else set())
+    if tag not in ("body", "html") and bad:
         return -1
     if tag in GOOD_TAGS or role in ("main", "article") or tag in ("div", "section") and not GOOD_NAMES.isdisjoint(named):
         return 1

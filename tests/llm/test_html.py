@@ -14,6 +14,7 @@ LONG = "The story of the town and of the people who were in it is one that has b
     ("<!-- <p>no</p> --><article><p>a<!-- b -->c</p><style>p{}</style></article>", "ac"),
     ("<nav><ul><li>Menu<article><p>Unclosed menu</p></article>", "Unclosed menu"),
     ("<div id='cookie-notice'><p>" + LONG + "</p></div><div class='post'><p>Yes</p></div>", "Yes"),
+    ("<div class='layout has-sidebar'><div class='sidebar'><p>side</p></div><main><div class='post-header'><h1>T</h1></div><p>B</p></main></div>", "T\nB"),
     ("<article><p>text<p hidden>no</p><p style='display: none'>no</p></article>", "text"),
     ("<article><ul><li>item</li><li><a href=x>link only</a></li></ul></article>", "item"),
     ("<article><p>a <a href=\"x>y\">b</a> c</p><p>1 < 2 and 3 > 2", "a b c\n1 < 2 and 3 > 2"),
