@@ -29,18 +29,22 @@ def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(BLANKS)))
 
 
-def _key_struct(line: Column) -> Column:
-    """Hashes of a line's key; null for a blank line."""
-    key = line_key(line)
-    h1, h2 = hash128(key)
-    return F.when(F.length(key) >= 1, F.struct(h1.alias("h1"), h2.alias("h2")))
+def _key_hashes(lines: Column) -> Column:
+    """Hashes of each line's key; null for a blank line. Keys are made in a step of their own,
+    as a function of a line computes again whatever it names twice."""
+
+    def hashes(key: Column) -> Column:
+        h1, h2 = hash128(key)
+        return F.when(F.length(key) >= 1, F.struct(h1.alias("h1"), h2.alias("h2")))
+
+    return F.transform(F.transform(lines, line_key), hashes)
 
 
 def line_counts(docs: DataFrame, text: str = "text", by: list[Column] | None = None) -> DataFrame:
     """(h1, h2, n): in how many documents each line occurs; also per value of ``by``."""
     extra = by or []
     names = [f"b{i}" for i in range(len(extra))]
-    keys = F.array_distinct(F.filter(F.transform(lines_of(F.col(text)), _key_struct), lambda k: k.isNotNull()))
+    keys = F.array_distinct(F.filter(_key_hashes(lines_of(F.col(text))), lambda k: k.isNotNull()))
     return (
         docs.select(*[b.alias(n) for b, n in zip(extra, names)], F.explode(keys).alias("k"))
         .select(*names, "k.h1", "k.h2")
@@ -122,7 +126,7 @@ def mark_lines(docs: DataFrame, frequent: DataFrame, text: str = "text", key: st
     at = (
         docs.select(
             *row_hashes(key, text),
-            F.posexplode(F.transform(lines, _key_struct)).alias("at", "k"),
+            F.posexplode(_key_hashes(lines)).alias("at", "k"),
         )
         .where("k is not null")
         .select("h1", "h2", "at", F.col("k.h1").alias("k1"), F.col("k.h2").alias("k2"))
