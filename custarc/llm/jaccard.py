@@ -8,8 +8,9 @@ block:
 * Shingles have one global order, the ones that most documents share last. Two sets of similarity
   t or more share a shingle among the first ``n - ceil(t n) + 1`` of either, so only these entries
   are multiplied.
-* At first each entry meets the leader of its block only (the class with the most copies), and the
-  exact overlap decides. That is linear, and it joins nearly all near copies.
+* At first each entry meets the leader of its block only (the class with the most copies), where
+  sizes and positions leave room for the overlap; the exact overlap decides. That is linear, and it
+  joins nearly all near copies.
 * Before that, sketches of the sets discard pairs: a bit is set where a set has a shingle in that
   range of hashes, and each bit that only one set has is a shingle that the other lacks.
 * Blocks whose members are all joined by then need nothing more. In the others, members not yet
@@ -211,13 +212,13 @@ def _shared(rows: DataFrame) -> DataFrame:
     entries = _entries(rows)
     # Shingles beyond the frequent ones have small blocks: one shuffle is enough.
     block = W.partitionBy("token")
+    leader = F.min(F.struct("cid", "n", "at"))
     cold = entries.where("NOT frequent").drop("frequent").select(
-        "*", F.count("*").over(block).alias("members"), F.min("cid").over(block).alias("leader")
+        "*", F.count("*").over(block).alias("members"), leader.over(block).alias("leader")
     )
     # A frequent one may have a block of any size: count it map side, then join back.
     often = entries.where("frequent").drop("frequent")
-    # Reading n here too lets all branches share the shuffle of the prefixes.
-    blocks = often.groupBy("token").agg(F.count("n").alias("members"), F.min("cid").alias("leader"))
+    blocks = often.groupBy("token").agg(F.count("*").alias("members"), leader.alias("leader"))
     hot = often.join(blocks.where("members > 1"), "token")
     return cold.where("members > 1").unionByName(hot).drop("members")
 
@@ -287,7 +288,14 @@ def near_duplicates(
         members.select("cid", "h1", "h2", "n", "bits").join(shared.select("cid").distinct(), "cid", "left_semi"),
         "sketches",
     )
-    led = shared.where("cid != leader").select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct()
+    # A leader is met where sizes and positions leave room; any other pair stays open.
+    room = F.least(F.col("n") - F.col("at"), F.col("leader.n") - F.col("leader.at"))
+    led = (
+        shared.where("cid != leader.cid")
+        .where(room * (PERCENT + percent) >= percent * (F.col("n") + F.col("leader.n")))
+        .select(F.col("leader.cid").alias("a"), F.col("cid").alias("b"))
+        .distinct()
+    )
     led = stored(_possible(led, sketches, percent), "leader_pairs")
     first = stored(_verified(led, sketches, plain, size, percent), "leader_links")
     joined = first.groupBy(F.col("b").alias("cid")).agg(F.least(F.min("a"), F.col("cid")).alias("label"))
