@@ -44,7 +44,7 @@ WHOLE = 2.0  # their value; a word's is divided by the square root of the number
 STEPS = 400
 STRETCH = 1 << 19  # features multiplied at a time
 PENALTY = 1e-4
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
 
 _EDGES = re.compile(r"^(\W*)(.*?)(\W*)$", re.S)
 

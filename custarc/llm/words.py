@@ -15,7 +15,7 @@ SPACED = bytes(_LOWER.get(b, b) for b in range(256))
 ALNUM = bytes(
     _LOWER.get(b, b) if b > 127 or bytes([b]).isalnum() else 32 for b in range(256)
 )
-CACHED_WORDS = 400_000  # per Python worker; a full cache starts anew
+CACHED_WORDS = 100_000  # per Python worker; a full cache starts anew
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
