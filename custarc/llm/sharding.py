@@ -71,7 +71,8 @@ def assign_shards(
         .withColumns(
             {"start": F.col("part_start") + F.col("in_part"), "rank": F.col("part_row") + F.col("row_in_part")}
         )
-        .withColumn("shard", F.floor(F.col("start").cast("decimal(38,0)") * shards / F.col("all_bytes")).cast("int"))
+        # Whole numbers throughout: a decimal quotient is rounded before it can be cut.
+        .withColumn("shard", F.expr(f"int(cast(start AS decimal(38,0)) * {int(shards)} div all_bytes)"))
     )
     cut = stored(ranked.select(*ORDER, "start", "rank", "shard"), "shards")
     first = cut.groupBy("shard").agg(F.min("rank").alias("first"))

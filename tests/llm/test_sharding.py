@@ -1,6 +1,7 @@
 import random
 import zlib
 
+from custarc.llm import sharding
 from custarc.llm.sharding import assign_shards, write_shards
 
 
@@ -30,6 +31,17 @@ def test_contiguous_and_even(documents):
     assert ids == sorted(ids)
 
 
+def test_cuts_are_exact_in_large_tables(documents, monkeypatch):
+    # Texts that name their own size: 30 GB in 24 rows, with a short document before and after each cut.
+    monkeypatch.setattr(sharding, "byte_size", lambda text, overhead: text.cast("long"))
+    part = 30_000_000_000 // 24
+    sizes = [n for _ in range(24) for n in (part - 500, 500)]
+    found = assign_shards(documents([(k, str(n)) for k, n in enumerate(sizes)]), shards=24).collect()
+    assert sum(r["size"] for r in found) == 24 * part and len(found) == 48
+    assert all(r.shard == r.start * 24 // (24 * part) for r in found)
+    assert {r.shard for r in found} == set(range(24))
+
+
 def test_written_shards_hold_every_row(spark, documents, tmp_path):
     docs = documents(rows_of())
     write_shards(docs, str(tmp_path / "out"), shards=5)
