@@ -17,6 +17,9 @@ block:
   joined meet if their sizes and positions leave room for the overlap that the threshold asks for;
   overlap counts are summed over the blocks, and pairs whose sum plus what is left to come stays
   below that bound are discarded. The rest are compared exactly.
+* No link leaves its component, so links are counted inside components. Two classes have one; a
+  larger component is dealt into parts, and each pair of parts is a tile in which the overlaps of
+  all its sets are summed shingle by shingle. A tile returns counts, never pairs.
 
 The global order only decides how much work there is, never the result. It ranks the ORDERED most
 frequent shingles, counted over all documents; the others go by their hash.
@@ -50,6 +53,8 @@ GRADE = 1 << 55  # above any value of monotonically_increasing_id in 4 million p
 BAND = 1.05  # sizes in one band differ by less than this factor
 PERCENT = 100
 CACHED_SETS = 256
+TILE = 256  # classes in a part of a component whose links are counted
+TILE_SHINGLES = 1 << 20  # and their shingles
 SKETCH = 1024  # bits of a set's sketch, one per range of hashes
 _RANGE = np.uint64(2**64 // SKETCH)
 
@@ -178,6 +183,19 @@ def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return pairs.where(common * (PERCENT + percent) >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
+def _texts_of(names: DataFrame, plain: DataFrame) -> DataFrame | None:
+    """(h1, h2, text) of at least the rows that ``names`` lists by h1; None if it lists none."""
+    needed = names.select("h1").distinct()
+    count = needed.count()
+    if not count:
+        return None
+    bits = min(30, max(16, math.ceil(math.log2(count * 64))))
+    wanted = plain.sparkSession.sparkContext.broadcast(bit_filter(needed, "h1", bits))
+    found = plain.select("h1", "h2", "text").mapInArrow(lambda b: _texts(b, wanted), "h1 long, h2 long, text string")
+    # Copies equal in id and text are found more than once.
+    return found.groupBy("h1", "h2").agg(F.min("text").alias("text"))
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, plain: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets reach the similarity. Their texts are read again,
     as a text takes less than half the room of its set; a bit filter finds them without a shuffle
@@ -186,15 +204,9 @@ def _verified(pairs: DataFrame, rows: DataFrame, plain: DataFrame, size: int, pe
     for side in ("a", "b"):
         pairs = pairs.join(names.toDF(side, f"h1_{side}", f"h2_{side}"), side)
     pairs = stored(pairs, "pairs_to_verify")
-    needed = pairs.select(F.explode(F.array("h1_a", "h1_b")).alias("h1")).distinct()
-    count = needed.count()
-    if not count:
+    texts = _texts_of(pairs.select(F.explode(F.array("h1_a", "h1_b")).alias("h1")), plain)
+    if texts is None:
         return pairs.select("a", "b")
-    bits = min(30, max(16, math.ceil(math.log2(count * 64))))
-    wanted = plain.sparkSession.sparkContext.broadcast(bit_filter(needed, "h1", bits))
-    found = plain.select("h1", "h2", "text").mapInArrow(lambda b: _texts(b, wanted), "h1 long, h2 long, text string")
-    # Copies equal in id and text are found more than once.
-    texts = found.groupBy("h1", "h2").agg(F.min("text").alias("text"))
     for side in ("a", "b"):
         pairs = pairs.join(texts.toDF(f"h1_{side}", f"h2_{side}", f"text_{side}"), [f"h1_{side}", f"h2_{side}"])
     return pairs.where(_linked(size, percent)("a", "text_a", "b", "text_b")).select("a", "b")
@@ -260,10 +272,67 @@ def _open_pairs(shared: DataFrame, joined: DataFrame, percent: int) -> DataFrame
     return pairs.where(enough).select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"))
 
 
+def _links_in_tile(size: int, percent: int):
+    """A function that counts the links of each class of a tile with the tile's other classes; in a
+    tile of two parts only with those of the other part."""
+
+    def count(tile: pa.Table) -> pa.Table:
+        part = tile["part"].to_numpy()
+        two = tile["low"][0] != tile["high"][0]
+        sets = [shingle_set(words, size) for _, _, words in hashed(as_bytes(tile["text"]), SPACED)]
+        n = np.array([len(s) for s in sets])
+        _, token, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        holder = np.repeat(np.arange(len(sets)), n)[np.argsort(token, kind="stable")]
+        begin, ends = np.cumsum(holders) - holders, np.cumsum(n)
+        links = np.zeros(len(sets), np.int64)
+        for a in range(len(sets)):
+            own = token[ends[a] - n[a] : ends[a]]
+            many = holders[own]
+            at = np.arange(many.sum()) + np.repeat(begin[own] - (np.cumsum(many) - many), many)
+            common = np.bincount(holder[at], minlength=len(sets))
+            linked = PERCENT * common >= percent * (n[a] + n - common)
+            linked[a] = False
+            links[a] = np.count_nonzero(linked & (part != part[a]) if two else linked)
+        return pa.table({"cid": tile["cid"], "n_links": links})
+
+    return count
+
+
+def _link_counts(named: DataFrame, plain: DataFrame, size: int, percent: int) -> DataFrame:
+    """(cid, n_links): with how many other classes each class of a component of several is linked."""
+    sizes = named.groupBy("component").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
+    parts = F.ceil(F.greatest(F.col("classes") / TILE, F.col("shingles") / TILE_SHINGLES))
+    inside = named.join(sizes.where("classes > 1").select("component", "classes", parts.alias("parts")), "component")
+    pairs = inside.where("classes = 2").select("cid", F.lit(1).cast("long").alias("n_links"))
+    many = stored(
+        inside.where("classes > 2").select(
+            "component", "parts", "cid", "h1", "h2", F.pmod(F.xxhash64("cid"), "parts").alias("part")
+        ),
+        "classes_to_count",
+    )
+    texts = _texts_of(many, plain)
+    if texts is None:
+        return pairs
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    tiles = many.join(texts, ["h1", "h2"]).select("component", "part", "cid", "text", other.alias("other")).select(
+        "component", "part", "cid", "text", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")
+    )
+    counted = tiles.groupBy("component", "low", "high").applyInArrow(_links_in_tile(size, percent), "cid long, n_links long")
+    return pairs.union(counted.groupBy("cid").agg(F.sum("n_links").alias("n_links")))
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = 80, size: int = 5, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
-    """(doc_id, h1, h2, uid, n_shingles, class_id, component_id): one row per document."""
+    """(doc_id, h1, h2, uid, n_shingles, class_id, component_id, n_links): one row per document.
+    ``n_links`` is the number of other classes that its class is linked with."""
+    found, named, plain = _in_components(docs, percent, size, text, key)
+    links = stored(_link_counts(named, plain, size, percent), "class_links").withColumnRenamed("cid", "class_id")
+    return found.join(links, "class_id", "left").select(*found.columns, F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def _in_components(docs: DataFrame, percent: int, size: int, text: str, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What near_duplicates returns without the links; the classes with their components; the texts."""
     context = docs.sparkSession.sparkContext
     plain = docs.select(F.col(key).alias("doc_id"), *row_hashes(key, text), F.col(text).alias("text"))
     frequent = context.broadcast(frequent_shingles(plain, size))
@@ -278,8 +347,8 @@ def near_duplicates(
     grade = 15 - F.least(F.floor(F.log2(F.count("*"))), F.lit(15))
     classes = stored(
         rows.where("n > 0").groupBy("s1", "s2").agg(
-            F.min("uid").alias("uid"), F.min("doc_id").alias("least_id"), grade.alias("grade")
-        ).withColumn("cid", F.col("uid") + F.col("grade") * F.lit(GRADE)),
+            F.min(F.struct("uid", "h1", "h2", "n")).alias("first"), F.min("doc_id").alias("least_id"), grade.alias("grade")
+        ).select("s1", "s2", "first.*", "least_id", (F.col("first.uid") + F.col("grade") * F.lit(GRADE)).alias("cid")),
         "shingle_classes",
     )
     members = rows.join(classes.select("uid", "cid"), "uid").select("cid", "h1", "h2", "n", "cold", "prefix", "bits")
@@ -302,22 +371,26 @@ def near_duplicates(
     rest = stored(_possible(_open_pairs(shared, joined, percent), sketches, percent), "open_pairs")
     second = _verified(rest, sketches, plain, size, percent)
     component = connected(first.union(second))
-    named = classes.join(component, classes.cid == component.node, "left").withColumn(
-        "component", F.coalesce("component", "cid")
+    named = stored(
+        classes.join(component, classes.cid == component.node, "left").withColumn(
+            "component", F.coalesce("component", "cid")
+        ),
+        "components",
     )
     names = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     of_class = named.join(names, "component").select("s1", "s2", F.col("cid").alias("class_id"), "component_id")
     found = rows.select("doc_id", "h1", "h2", "uid", "n", "s1", "s2").join(of_class, ["s1", "s2"], "left")
-    return found.select(
+    found = found.select(
         "doc_id", "h1", "h2", "uid", F.col("n").cast("long").alias("n_shingles"), "class_id",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+    return found, named, plain
 
 
 def keep_one(docs: DataFrame, percent: int = 80, size: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each component: the one with its smallest id. Documents
     without words all stay; of rows equal in id and text, one stays."""
-    found = near_duplicates(docs, percent, size, text, key)
+    found, _, _ = _in_components(docs, percent, size, text, key)
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "uid")
     kept = found.where("class_id is not null").groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("class_id"))).agg(
         F.min(F.struct(first.alias("first"), "h1", "h2")).alias("k")

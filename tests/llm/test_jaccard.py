@@ -2,6 +2,7 @@ import random
 
 import pytest
 from brute import near_duplicates as plain
+from brute import shingles
 
 from custarc.llm import jaccard
 from custarc.llm.components import connected
@@ -34,6 +35,21 @@ def test_as_brute_force(documents, prose, monkeypatch, seed, ordered):
     assert sorted([(x.doc_id, x.n_shingles, x.component_id) for x in found], key=key) == sorted(plain(rows), key=key)
 
 
+@pytest.mark.parametrize("tile, room", [(256, 1 << 20), (7, 1 << 20), (256, 400)])
+def test_links_between_different_texts(documents, prose, monkeypatch, tile, room):
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(jaccard, "TILE_SHINGLES", room)
+    rows = rows_of(4, prose)
+    sets = {s for _, t in rows if (s := shingles(t))}
+    links = {s: sum(100 * len(s & o) >= 80 * len(s | o) for o in sets) - 1 for s in sets}
+    found = near_duplicates(documents(rows)).collect()
+    key = lambda r: tuple(map(str, r))
+    assert sorted([(x.doc_id, x.n_shingles, x.n_links) for x in found], key=key) == sorted(
+        [(i, len(s), links.get(s, 0)) for i, s in ((i, shingles(t)) for i, t in rows)], key=key
+    )
+    assert max(links.values()) > 20
+
+
 def test_one_of_each_group_stays(documents, prose):
     rows = rows_of(3, prose)
     out = keep_one(documents(rows))
