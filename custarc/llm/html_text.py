@@ -8,6 +8,12 @@ linked characters, and by where it stands: parts that are marked as navigation,
 footer, sidebar, notice, advert, form or reader comments are bad; inside an article or main element
 a block needs no stop words, only few links. Short blocks without links stay ambiguous.
 
+Two marks are only doubts: a form, which may wrap a whole page, and inside an article a class or id
+other than those of reader comments and adverts. Such a part is bad unless its blocks with few links
+are together long and rich in stop words; then they are judged by where the part stands. An article
+or main element leaves a form. In an article the names of headings and the ids of sections, which are
+anchors, mark nothing, except that a section's id can mark reader comments.
+
 Second pass. Ambiguous blocks take the label of the nearest decided neighbours: where both sides
 agree, that one; else the nearer side's; at equal distance the label of the block that follows, as
 headings and captions lead into what they belong to.
@@ -69,6 +75,15 @@ BAD_NAMES = frozenset(
     trending widget
     """.split()
 )
+READER_NAMES = frozenset("comment commentlist comments disqus replies reply respond responses".split())
+# Not written for the article, however long.
+FOREIGN_NAMES = READER_NAMES | frozenset(
+    """
+    ad ads adsense advert adverts advertisement advertising advertorial consent cookie cookies gdpr newsletter paywall
+    popup promo promotion sponsor sponsored
+    """.split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LAYOUT_NAMES = frozenset("has no with without".split())  # the name behind them says what a page has
 GOOD_NAMES = frozenset("article content entry main post story".split())
 
@@ -82,18 +97,19 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class _Block:
-    __slots__ = ("parts", "linked", "place", "heading")
+    __slots__ = ("parts", "linked", "place", "heading", "doubt")
 
-    def __init__(self, place: int, heading: bool):
+    def __init__(self, place: int, heading: bool, doubt: int = 0):
         self.parts: list[str] = []
         self.linked: list[str] = []
-        self.place, self.heading = place, heading
+        self.place, self.heading, self.doubt = place, heading, doubt
 
 
-def _place(tag: str, attributes: str, inside: int) -> int:
-    """-1 in a part that is no main text, 1 in the article, 0 elsewhere; from the part around it."""
+def _place(tag: str, attributes: str, inside: int, doubt: str) -> tuple[int, str]:
+    """-1 in a part that is no main text, 1 in the article, 0 elsewhere; and what makes that
+    doubtful: "form", "name" or nothing. From those of the part around it."""
     if inside < 0:
-        return -1
+        return -1, ""
     named, role = [], ""
     for name, value in _ATTRIBUTE.findall(attributes):
         value, name = value.strip("\"'"), name.lower()
@@ -101,24 +117,33 @@ def _place(tag: str, attributes: str, inside: int) -> int:
             role = value.lower()
         elif name in ("class", "id"):
             words = [w.lower() for w in _NAME.findall(value)]
+            if inside > 0 and tag in HEADINGS:
+                words = []
+            elif inside > 0 and tag == "section" and name == "id":
+                words = [w for w in words if w not in BAD_NAMES or w in READER_NAMES]
             named += [w for before, w in zip(["", *words], words) if before not in LAYOUT_NAMES]
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or _HIDDEN.search(value):
-            return -1
-    if tag in BAD_TAGS and not (tag == "header" and inside > 0) or role in BAD_ROLES:
-        return -1
+            return -1, ""
+    form = tag == "form" or role == "form"
+    if not form and (tag in BAD_TAGS and not (tag == "header" and inside > 0) or role in BAD_ROLES):
+        return -1, ""
     # An article may have a header of its own.
-    bad = BAD_NAMES.intersection(named) - ({"header"} if inside > 0 else set())
+    bad = BAD_NAMES.intersection(named) - ({"header"} if inside > 0 else set()) - ({"form"} if form else set())
     if tag not in ("body", "html") and bad:
-        return -1
-    if tag in GOOD_TAGS or role in ("main", "article") or tag in ("div", "section") and not GOOD_NAMES.isdisjoint(named):
-        return 1
-    return inside
+        if inside <= 0 or bad & FOREIGN_NAMES:
+            return -1, ""
+        return 1, "name"
+    if tag in GOOD_TAGS or role in ("main", "article"):
+        return 1, doubt if doubt == "name" else ""
+    if tag in ("div", "section") and not GOOD_NAMES.isdisjoint(named):
+        return 1, doubt
+    return inside, doubt or ("form" if form else "")
 
 
 def blocks_of(page: str) -> Iterator[_Block]:
     """The blocks of a page that hold text, in page order."""
-    stack: list[tuple[str, int]] = []
-    links = 0
+    stack: list[tuple[str, int, str, int]] = []
+    links = doubts = 0
     block = _Block(0, False)
     at, end = 0, len(page)
     while at < end:
@@ -149,17 +174,24 @@ def blocks_of(page: str) -> Iterator[_Block]:
             yield block
         links = 0
         if closing:
-            if any(t == tag for t, _ in stack):
+            if any(t == tag for t, *_ in stack):
                 while stack.pop()[0] != tag:
                     pass
         elif tag not in VOID:
             if tag in GOOD_TAGS:
-                while stack and stack[-1][1] < 0 and any(t in ("head", "nav", "header", "aside", "menu") for t, _ in stack):
+                while stack and stack[-1][1] < 0 and any(t in ("head", "nav", "header", "aside", "menu") for t, *_ in stack):
                     stack.pop()
             if tag == "p" and stack and stack[-1][0] == "p":
                 stack.pop()
-            stack.append((tag, _place(tag, attributes, stack[-1][1] if stack else 0)))
-        block = _Block(stack[-1][1] if stack else 0, tag in ("h1", "h2", "h3", "h4", "h5", "h6") and not closing)
+            _, inside, doubt, number = stack[-1] if stack else ("", 0, "", 0)
+            place = _place(tag, attributes, inside, doubt)
+            if not place[1]:
+                number = 0
+            elif place != (inside, doubt):
+                number = doubts = doubts + 1
+            stack.append((tag, *place, number))
+        _, place, _, number = stack[-1] if stack else ("", 0, "", 0)
+        block = _Block(place, tag in HEADINGS and not closing, number)
     if block.parts:
         yield block
 
@@ -168,19 +200,37 @@ def _clean(parts: list[str]) -> str:
     return " ".join(html.unescape("".join(parts)).split())
 
 
+def _linked(block: _Block, text: str) -> float:
+    return len(_clean(block.linked)) / len(text) if block.linked else 0.0
+
+
+def _stops(text: str) -> float:
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+
+
+def kept_doubts(found: list[tuple[_Block, str]]) -> set[int]:
+    """The doubtful parts whose blocks with few links are together long and rich in stop words."""
+    texts: dict[int, list[str]] = {}
+    for block, text in found:
+        if block.doubt and _linked(block, text) < LINKED:
+            texts.setdefault(block.doubt, []).append(text)
+    whole = {k: " ".join(t) for k, t in texts.items()}
+    return {k for k, t in whole.items() if len(t) >= LONG and _stops(t) >= STOPS_HIGH}
+
+
 def judged(block: _Block, text: str) -> int | None:
     """1 good, -1 bad, None ambiguous."""
     if block.place < 0:
         return -1
-    links = len(_clean(block.linked)) / len(text) if block.linked else 0.0
+    links = _linked(block, text)
     if links >= LINKED:
         return -1
     if block.place > 0:
         return 1 if len(text) >= SHORT or not links else None
     if len(text) < SHORT:
         return None if not links else -1
-    words = text.lower().split()
-    stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+    stops = _stops(text)
     if stops >= STOPS_HIGH:
         return 1 if len(text) >= LONG else None
     return None if stops >= STOPS_LOW else -1
@@ -188,7 +238,8 @@ def judged(block: _Block, text: str) -> int | None:
 
 def main_text(page: str | None) -> str:
     found = [(b, t) for b in blocks_of(page or "") if (t := _clean(b.parts))]
-    labels = [judged(b, t) for b, t in found]
+    sure = kept_doubts(found)
+    labels = [judged(b, t) if not b.doubt or b.doubt in sure else -1 for b, t in found]
     before, last = [], None
     for k, label in enumerate(labels):
         last = k if label is not None else last

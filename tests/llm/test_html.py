@@ -25,6 +25,21 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<body><form id='form1'><nav><a href=x>Home</a></nav><article><h1>T</h1><p>Body</p></article></form></body>", "T\nBody"),
+    ("<body><form id='aspnetForm'><div><a href=x>Home</a></div><div><p>" + LONG * 2 + "</p><p>Short</p><p>" + LONG * 2 + "</p></div></form></body>",
+     (LONG * 2).strip() + "\nShort\n" + (LONG * 2).strip()),
+    ("<body><form><p>Your name</p><p>Your town</p></form><article><p>B</p></article></body>", "B"),
+    ("<article><p>B</p><section id='discussion'><h2>Discussion</h2><p>Brief</p></section></article>", "B\nDiscussion\nBrief"),
+    ("<article><h2 id='related-work'>Related work</h2><p>B</p><h2 id='search'>Search</h2><p>C</p></article>", "Related work\nB\nSearch\nC"),
+    ("<article><p>B</p><div class='alert'><p>Note</p><p>" + LONG * 2 + "</p></div><div class='alert'>Saved</div></article>", "B\nNote\n" + (LONG * 2).strip()),
+    ("<main><p>B</p><div class='related'><p><a href=x>" + LONG * 2 + "</a></p></div><section id='comments'><p>" + LONG * 2 + "</p></section></main>", "B"),
+    ("<div class='alert'><p>" + LONG * 2 + "</p></div><main><p>B</p></main>", "B"),
+])
+def test_forms_and_names_that_hold_main_text(page, text):
+    assert main_text(page) == text
+
+
 def test_long_pages_take_time_in_proportion():
     assert main_text("<article>" + "<p>a" * 100000).count("\n") == 99999
     for odd in ("<" * 100000, "<a " * 50000, "<a href=\"" * 30000, "<!--" * 50000, "&" * 100000, "<div>" * 20000):
