@@ -44,7 +44,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custarc.llm.common import bit_filter, passes, row_hashes, stored, unpacked, whole_rows
+from custarc.llm.common import BLANKS, bit_filter, passes, row_hashes, stored, unpacked, whole_rows
 from custarc.llm.components import connected
 from custarc.llm.words import SPACED, as_bytes, hashed, lists, ngrams, small_batches
 
@@ -324,8 +324,8 @@ def _link_counts(named: DataFrame, plain: DataFrame, size: int, percent: int) ->
 def near_duplicates(
     docs: DataFrame, percent: int = 80, size: int = 5, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
-    """(doc_id, h1, h2, uid, n_shingles, class_id, component_id, n_links): one row per document.
-    ``n_links`` is the number of other classes that its class is linked with."""
+    """(doc_id, h1, h2, uid, n_shingles, class_id, component_id, component, n_links): one row per document.
+    ``component`` names a component even if no member has an id; rows without words have none. ``n_links`` is the number of other classes that its class is linked with."""
     found, named, plain = _in_components(docs, percent, size, text, key)
     links = stored(_link_counts(named, plain, size, percent), "class_links").withColumnRenamed("cid", "class_id")
     return found.join(links, "class_id", "left").select(*found.columns, F.coalesce("n_links", F.lit(0)).alias("n_links"))
@@ -378,23 +378,27 @@ def _in_components(docs: DataFrame, percent: int, size: int, text: str, key: str
         "components",
     )
     names = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    of_class = named.join(names, "component").select("s1", "s2", F.col("cid").alias("class_id"), "component_id")
+    of_class = named.join(names, "component").select("s1", "s2", F.col("cid").alias("class_id"), "component", "component_id")
     found = rows.select("doc_id", "h1", "h2", "uid", "n", "s1", "s2").join(of_class, ["s1", "s2"], "left")
     found = found.select(
         "doc_id", "h1", "h2", "uid", F.col("n").cast("long").alias("n_shingles"), "class_id",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "component",
     )
     return found, named, plain
 
 
 def keep_one(docs: DataFrame, percent: int = 80, size: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with one document of each component: the one with its smallest id. Documents
-    without words all stay; of rows equal in id and text, one stays."""
+    """``docs`` with one document of each component: the one with its smallest id. Rows without
+    words all stay; of rows with words that are equal in id and text, one stays."""
     found, _, _ = _in_components(docs, percent, size, text, key)
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "uid")
-    kept = found.where("class_id is not null").groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("class_id"))).agg(
+    node = F.when(F.col("component_id").isNull(), F.col("component"))
+    kept = found.where("component is not null").groupBy("component_id", node).agg(
         F.min(F.struct(first.alias("first"), "h1", "h2")).alias("k")
     ).select("k.h1", "k.h2")
-    alone = found.where("class_id is null").select("h1", "h2")
-    one_each = whole_rows(docs, key, text).groupBy("h1", "h2").agg(F.min("row").alias("row"))
-    return unpacked(one_each.join(kept.union(alone).distinct(), ["h1", "h2"], "left_semi"), docs.columns)
+    # Equal rows without words are groups of their own, so they are not merged.
+    blank = F.length(F.translate(F.coalesce(F.col(text), F.lit("")), BLANKS, "")) == 0
+    alone = docs.where(blank)
+    one_each = whole_rows(docs.where(~blank), key, text).groupBy("h1", "h2").agg(F.min("row").alias("row"))
+    return unpacked(one_each.join(kept, ["h1", "h2"], "left_semi"), docs.columns).union(alone)

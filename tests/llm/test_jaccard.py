@@ -63,6 +63,16 @@ def test_rows_equal_in_all_leave_one(documents):
     assert keep_one(documents([(1, "a b c d e f")] * 5)).count() == 1
 
 
+def test_rows_without_words_and_groups_without_ids(documents, prose):
+    words = prose("no id", 60).split()
+    near = [(None, " ".join(words)), (None, " ".join([*words, "more"])), (None, " ".join([*words, "else"]))]
+    blank = [(None, None)] * 3 + [(None, " \n")] * 2 + [(4, "")] * 2 + [(4, None)]
+    out = keep_one(documents(near + blank)).collect()
+    key = lambda r: tuple(map(str, r))
+    assert sorted([(r.doc_id, r.text) for r in out if not (r.text or "").split()], key=key) == sorted(blank, key=key)
+    assert len(out) == len(blank) + 1
+
+
 def test_empty_table(documents):
     assert near_duplicates(documents([])).collect() == []
     assert keep_one(documents([])).collect() == []
