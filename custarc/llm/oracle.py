@@ -67,7 +67,54 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
  sum(length('<|im_start|>' || role || chr(10) || safe || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id"""
 
+_CRC = """crc AS (SELECT list(list_reduce(range(9), lambda c, i: CASE WHEN i = 0 THEN c WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+ FROM range(256) x(b))"""
+
+
+def _crc32(hexed: str) -> str:
+    """crc32 of a text given as hex; needs the table of _CRC."""
+    return f"""xor(list_reduce(list_transform(regexp_extract_all({hexed}, '..'), lambda x: ('0x' || x)::BIGINT),
+  lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295::BIGINT), 4294967295)"""
+
+
+# Dynamic programming, a row of every conversation at a time: per state the cheapest (cost, audit) so far.
+# Inserts happen before a row; from state and number of inserts a row is kept, renamed or deleted.
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE {_CRC},
+o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+ {_crc32("hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')))")} % 20 AS h FROM conversations, crc),
+d AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+ CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+ unnest(range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM o),
+v AS (SELECT *, right(rtrim(text, {_BLANKS}), 1) AS e, left(role, 1) AS x,
+ row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM d),
+f AS (SELECT *, CASE WHEN e = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+ WHEN e NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault, lag(x) OVER (PARTITION BY conv_id ORDER BY i) AS px FROM v),
+moves(s, ins, u) AS (VALUES (0, '', 0), (0, 'I', 2), (0, 'II', 3), (1, '', 1), (1, 'I', 2), (1, 'II', 3), (2, '', 2), (2, 'I', 3), (3, '', 3), (3, 'I', 2)),
+edits AS (SELECT u, e, x, t, CASE e WHEN 'K' THEN 0 WHEN 'R' THEN 3 ELSE 4 END AS paid FROM (VALUES
+ (0, 'K', 's', 1), (0, 'K', 'u', 2), (1, 'K', 'u', 2), (2, 'K', 'a', 3), (3, 'K', 'u', 2),
+ (0, 'R', NULL, 2), (1, 'R', NULL, 2), (2, 'R', NULL, 3), (3, 'R', NULL, 2), (0, 'D', NULL, 0), (1, 'D', NULL, 1), (2, 'D', NULL, 2), (3, 'D', NULL, 3)) y(u, e, x, t)),
+steps AS (SELECT s, t, ins, e, edits.x, 3 * length(ins) + paid AS paid, ins || e AS done, moves.u FROM moves JOIN edits USING (u)),
+ways(conv_id, i, s, best) AS (SELECT DISTINCT conv_id, 0::BIGINT, 0, {{'cost': 0, 'audit': '', 'said': ''}} FROM f
+ UNION ALL
+ SELECT ways.conv_id, ways.i + 1, steps.t, min({{'cost': best.cost + steps.paid + CASE WHEN fault = 'truncated' AND steps.e <> 'D' THEN 3 ELSE 0 END, 'audit': best.audit || steps.done,
+  'said': best.said || CASE WHEN steps.ins = '' THEN '' WHEN steps.ins = 'II' THEN chr(10) || 'user:' || chr(10) || 'assistant:' WHEN steps.s = 2 THEN chr(10) || 'assistant:' ELSE chr(10) || 'user:' END
+   || CASE steps.e WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || f.role || ':' || f.text ELSE chr(10) || CASE WHEN steps.u = 2 THEN 'assistant:' ELSE 'user:' END || f.text END}})
+ FROM ways JOIN f ON f.conv_id IS NOT DISTINCT FROM ways.conv_id AND f.i = ways.i + 1 JOIN steps ON steps.s = ways.s
+ WHERE (steps.x IS NULL OR steps.x = f.x) AND (steps.e = 'D' OR fault NOT IN ('blank', 'duplicate')) GROUP BY ways.conv_id, ways.i, steps.t),
+n AS (SELECT conv_id, count(*) AS n, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+ count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE px || x NOT IN ('su', 'ua', 'au')) AS illegal,
+ coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps FROM f GROUP BY conv_id),
+e AS (SELECT n.conv_id, min({{'cost': best.cost + CASE s WHEN 1 THEN 6 WHEN 2 THEN 3 ELSE 0 END, 'audit': best.audit || CASE s WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+  'said': best.said || CASE s WHEN 1 THEN chr(10) || 'user:' || chr(10) || 'assistant:' WHEN 2 THEN chr(10) || 'assistant:' ELSE '' END}}) AS best
+ FROM n JOIN ways ON ways.conv_id IS NOT DISTINCT FROM n.conv_id AND ways.i = n.n GROUP BY n.conv_id),
+c AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+ coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0)::BIGINT AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(best.said[2:], '')) AS repaired_sha256
+FROM c LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
 ORACLE = {
+    "op11_conversation_repair": CONVERSATION_REPAIR,
     "op1_line_dedup": LINE_DEDUP,
     "op4_ngram_jaccard": NGRAM_JACCARD,
     "op5_sharding": SHARDING,

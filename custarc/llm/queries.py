@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custarc.llm import chat, decontaminate, html_text, jaccard, line_dedup, neighbours, packing, pii, quality, sharding
+from custarc.llm import chat, decontaminate, html_text, jaccard, line_dedup, neighbours, packing, pii, quality, repair, sharding
 from custarc.llm.common import table
 from custarc.llm.oracle import ORACLE  # noqa: F401
 
@@ -113,7 +113,21 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    told = table(spark, folder, "conversations").select(c("conv_id").alias("conv"), "turn", "role", "text")
+    found, edits = repair.repair(repair.damage(told))
+    report = found.join(repair.faults(edits), "cid").join(repair.audits(edits), "cid")
+    every = told.select(c("conv").alias("conv_id")).distinct()
+    counts = [F.coalesce(x, F.lit(0)).cast("long").alias(x) for x in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(report, c("conv_id").eqNullSafe(c("conv")), "left").select(
+        "conv_id",
+        *counts,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.sha2(F.coalesce("repaired", F.lit("")), 256).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_packing, op3_quality_classifier, op4_ngram_jaccard, op5_sharding, op6_decontamination, op7_html_extraction, op8_nearest_neighbours, op9_chat_formatting, op10_pii)
+    for f in (op1_line_dedup, op2_packing, op3_quality_classifier, op4_ngram_jaccard, op5_sharding, op6_decontamination, op7_html_extraction, op8_nearest_neighbours, op9_chat_formatting, op10_pii, op11_conversation_repair)
 }
