@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custarc.llm import chat, decontaminate, html_text, jaccard, line_dedup, neighbours, packing, pii, quality, repair, sharding
-from custarc.llm.common import table
+from custarc.llm import chat, decontaminate, html_text, jaccard, line_dedup, neighbours, packing, pii, quality, repair, sharding, spelling
+from custarc.llm.common import stored, table
 from custarc.llm.oracle import ORACLE  # noqa: F401
 
 c = F.col
@@ -127,7 +127,12 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling.counted_words(table(spark, folder, "documents"), shortest=7, least=2, every=31)
+    return spelling.variants(stored(words, "words"), times=10)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_packing, op3_quality_classifier, op4_ngram_jaccard, op5_sharding, op6_decontamination, op7_html_extraction, op8_nearest_neighbours, op9_chat_formatting, op10_pii, op11_conversation_repair)
+    for f in (op1_line_dedup, op2_packing, op3_quality_classifier, op4_ngram_jaccard, op5_sharding, op6_decontamination, op7_html_extraction, op8_nearest_neighbours, op9_chat_formatting, op10_pii, op11_conversation_repair, op12_spelling_variants)
 }
