@@ -129,7 +129,15 @@ f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.less >= 10
 ways AS (SELECT word, word AS root, 0 AS k FROM f UNION ALL SELECT ways.word, f.form, k + 1 FROM ways JOIN f ON f.word = ways.root WHERE f.form IS NOT NULL)
 SELECT f.*, root FROM f JOIN (SELECT word, max_by(root, k) AS root FROM ways GROUP BY word) USING (word)"""
 
+WARC = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, row_number() OVER () AS r FROM pages),
+d AS (SELECT *, octet_length(b) AS n, sha1(b) AS h FROM p),
+g AS (SELECT *, first_value(r) OVER w AS first, max(page_id) OVER (PARTITION BY h) AS top FROM d WINDOW w AS (PARTITION BY h ORDER BY page_id DESC NULLS LAST, r))
+SELECT page_id, n AS payload_bytes, h AS payload_digest, CASE WHEN n < 1000 OR r = first THEN 'response' ELSE 'revisit' END AS record_type,
+ CASE WHEN n >= 1000 AND r <> first THEN top END AS refers_to FROM g"""
+
 ORACLE = {
+    "op13_warc": WARC,
     "op12_spelling_variants": SPELLING_VARIANTS,
     "op11_conversation_repair": CONVERSATION_REPAIR,
     "op1_line_dedup": LINE_DEDUP,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custarc.llm import chat, decontaminate, html_text, jaccard, line_dedup, neighbours, packing, pii, quality, repair, sharding, spelling
+from custarc.llm import chat, decontaminate, html_text, jaccard, line_dedup, neighbours, packing, pii, quality, repair, sharding, spelling, warc
 from custarc.llm.common import stored, table
 from custarc.llm.oracle import ORACLE  # noqa: F401
 
@@ -132,7 +132,15 @@ def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(stored(words, "words"), times=10)
 
 
+def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    # The pages have no time of capture: a page's number counts as seconds.
+    at = F.timestamp_seconds(c("page_id") % 1_000_000_000)
+    found = warc.round_trip(pages, key="page_id", url="url", payload="html", at=at, least=1000)
+    return found.select(c("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_packing, op3_quality_classifier, op4_ngram_jaccard, op5_sharding, op6_decontamination, op7_html_extraction, op8_nearest_neighbours, op9_chat_formatting, op10_pii, op11_conversation_repair, op12_spelling_variants)
+    for f in (op1_line_dedup, op2_packing, op3_quality_classifier, op4_ngram_jaccard, op5_sharding, op6_decontamination, op7_html_extraction, op8_nearest_neighbours, op9_chat_formatting, op10_pii, op11_conversation_repair, op12_spelling_variants, op13_warc)
 }
