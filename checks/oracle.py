@@ -104,19 +104,31 @@ def staged_txn(*words: str) -> str:
     )
 
 
+def as_of(rows: str, day: str) -> str:
+    """Join of ``rows`` with the version of their user that was the latest to start by ``day``."""
+    return f"ASOF LEFT JOIN ver_started v ON v.user_sk = {rows}.user_sk AND {day} >= v.start_day"
+
+
+def if_valid(column: str, day: str) -> str:
+    return f"CASE WHEN v.best.until > {day} THEN v.best.{column} END"
+
+
 RETENTION_KEYS = ("current_month", "months_since_start", "plan_name", "billing_cycle", "churn_reason")
 REVENUE_KEYS = (
     "transaction_month", "plan_name", "billing_cycle", "transaction_type", "payment_method", "failure_code",
 )
 
 
-def retention_final(mrr: str, equal: str) -> str:
-    keys = ", ".join(f"r.{k}" for k in RETENTION_KEYS)
-    match = " AND ".join(f"r.{k} {equal} m.{k}" for k in RETENTION_KEYS)
+COHORT_KEYS = ("cohort_month", *RETENTION_KEYS[1:])
+
+
+def retention_final(mrr: str, equal: str, rows: str = "ret_ranked", sums: str = "ret_mrr", columns: tuple[str, ...] = RETENTION_KEYS) -> str:
+    keys = ", ".join(f"r.{k}" for k in columns)
+    match = " AND ".join(f"r.{k} {equal} m.{k}" for k in columns)
     return f"""SELECT {keys},
  count(DISTINCT r.subscription_id) FILTER (WHERE r.status = 'Active') AS cohort_size,
  count(DISTINCT r.subscription_id) FILTER (WHERE r.status = 'Canceled') AS churned_users, {mrr}
- FROM ret_ranked r LEFT JOIN ret_mrr m ON {match} GROUP BY {keys}"""
+ FROM {rows} r LEFT JOIN {sums} m ON {match} GROUP BY {keys}"""
 
 
 def revenue_final(mrr: str, equal: str) -> str:
@@ -233,6 +245,19 @@ CTES |= {
     "ret_mrr": f"SELECT {', '.join(RETENTION_KEYS)}, {movements('event_type', 'price', 'old_price')} FROM ret_state GROUP BY ALL",
     "mart_retention": retention_final(SUM_AGAIN, "="),
     "mart_retention_corrected": retention_final(ONCE, "IS NOT DISTINCT FROM"),
+    "ret_cohort": """SELECT * EXCLUDE (months_since_start), date_diff('month', cohort_month, valid_from) AS months_since_start
+ FROM (SELECT *, CAST(date_trunc('month', min(valid_from) OVER (PARTITION BY subscription_id)) AS DATE) AS cohort_month FROM ret_state)""",
+    "ret_cohort_mrr": f"SELECT {', '.join(COHORT_KEYS)}, {movements('event_type', 'price', 'old_price')} FROM ret_cohort GROUP BY ALL",
+    "mart_retention_cohort": retention_final(SUM_AGAIN, "=", "ret_cohort", "ret_cohort_mrr", COHORT_KEYS),
+    "ver_started": """SELECT user_sk, CAST(valid_from AS DATE) AS start_day, max({'valid_from': valid_from,
+ 'until': coalesce(CAST(valid_to AS DATE), DATE '9999-12-31'), 'subscription_sk': subscription_sk, 'plan_name': plan_name, 'status': status}) AS best
+ FROM dim_subscription WHERE valid_from IS NOT NULL GROUP BY ALL""",
+    "fact_transaction_as_of": f"""SELECT {key("p.transaction_id")} AS transaction_sk, p.transaction_id,
+ {if_valid("subscription_sk", "p.transaction_date")} AS subscription_sk, p.user_sk, p.transaction_type, p.quantity, p.price, p.discount,
+ round(p.price * p.quantity * (1 - p.discount), 2) AS total_amount, p.currency, p.status, p.payment_method, p.failure_code,
+ cal.id AS transaction_date_id, p.refunded, p.refund_amount, p.description
+ FROM (SELECT t.*, user_sk FROM stg_transaction t LEFT JOIN dim_user ON email = cust_email) p
+ {as_of("p", "p.transaction_date")} LEFT JOIN cal ON cal.day = p.transaction_date""",
     "rev_txn": """SELECT t.*, coalesce(v.canceled_at, CAST(cal.day AS TIMESTAMP)) AS paid_at, v.subscription_id, v.plan_name, v.billing_cycle,
  v.canceled_at FROM fact_transaction t LEFT JOIN cal ON cal.id = t.transaction_date_id
  LEFT JOIN dim_subscription v ON v.subscription_sk = t.subscription_sk""",
@@ -254,22 +279,23 @@ CTES |= {
 }
 
 
-def chain(final: str, given: frozenset[str] = frozenset()) -> str:
+def chain(final: str, given: frozenset[str] = frozenset(), instead: dict[str, str] | None = None) -> str:
     """WITH chain of the CTEs a statement needs, directly or through others, but not of those
-    that are ``given`` as tables."""
+    that are ``given`` as tables. ``instead`` replaces the text of some of them."""
+    texts = CTES | (instead or {})
     needed: dict[str, None] = {}
 
     def visit(text: str) -> None:
         for word in dict.fromkeys(re.findall(r"[a-z_]+", text)):
             if word in CTES and word not in given and word not in needed:
                 if re.search(rf"\b(FROM|JOIN)\s+{word}\b", text):
-                    visit(CTES[word])
+                    visit(texts[word])
                     needed[word] = None
 
     visit(final)
     if not needed:
         return final
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in needed) + "\n" + final
+    return "WITH " + ",\n".join(f"{n} AS ({texts[n]})" for n in needed) + "\n" + final
 
 
 MODELS = (
@@ -277,7 +303,7 @@ MODELS = (
     "stg_support_ticket", "stg_product_usage", "int_product_usage", "int_subscription",
     "dim_user", "dim_subscription", "fact_transaction", "fact_support", "fact_product_usage",
     "mart_acquisition", "mart_engagement", "mart_support", "mart_retention",
-    "mart_retention_corrected", "mart_revenue", "mart_revenue_corrected",
+    "mart_retention_corrected", "mart_revenue", "mart_revenue_corrected", "mart_retention_cohort", "fact_transaction_as_of",
 )
 
 
@@ -427,5 +453,13 @@ FINALS |= {
  {ratio("sum(solved_count)", "sum(ticket_count)")} AS resolved_rate FROM mart_support GROUP BY channel""",
 }
 FINALS["fact_product_usage_of_repaired"] = FINALS["fact_product_usage"]
+FINALS["mart_revenue_as_of"] = FINALS["mart_revenue"]
+FINALS["ticket_version_as_of"] = f"""SELECT t.ticket_id, t.user_sk, t.created_date, {if_valid("subscription_sk", "t.created_date")} AS subscription_sk,
+ {if_valid("plan_name", "t.created_date")} AS plan_name, {if_valid("status", "t.created_date")} AS status
+ FROM (SELECT ticket_id, user_sk, CAST(created_at AS DATE) AS created_date FROM fact_support) t {as_of("t", "t.created_date")}"""
+
+# Queries under other settings: the texts that these replace.
+AS_OF = CTES["fact_transaction_as_of"]
+INSTEAD = {"mart_revenue_as_of": {"fact_transaction": AS_OF}}
 
-ORACLE = {name: chain(final) for name, final in FINALS.items()}
+ORACLE = {name: chain(final, instead=INSTEAD.get(name)) for name, final in FINALS.items()}

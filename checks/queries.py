@@ -99,6 +99,16 @@ def _retention_corrected(m: Models) -> DataFrame:
     return retention.mart_retention(m.dim_subscription, m.fact_transaction, _corrected(m))
 
 
+def _with(m: Models, **switches: str) -> Models:
+    return replace(m, settings=replace(m.settings, **switches))
+
+
+def _ticket_versions(m: Models) -> DataFrame:
+    tickets = m.fact_support.select("ticket_id", "user_sk", F.to_date("created_at").alias("created_date"))
+    columns = ["subscription_sk", "plan_name", "status"]
+    return core.with_version_as_of(tickets, m.dim_subscription, "created_date", ["ticket_id"], columns)
+
+
 def _subscription_lookup(m: Models) -> DataFrame:
     version = m.dim_subscription.select(
         c("subscription_sk").alias("_v"), "subscription_id", "plan_name", "billing_cycle", "canceled_at"
@@ -163,6 +173,10 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     ).drop("loaded_at"),
     "mart_retention_corrected": _retention_corrected,
     "mart_revenue_corrected": _revenue_corrected,
+    "mart_retention_cohort": lambda m: _with(m, cohort="first_month").mart_retention,
+    "fact_transaction_as_of": lambda m: _with(m, subscription_match="as_of").fact_transaction.drop("loaded_at"),
+    "mart_revenue_as_of": lambda m: _with(m, subscription_match="as_of").mart_revenue,
+    "ticket_version_as_of": _ticket_versions,
     # spines and calendar
     "date_spine": _order_days,
     "dim_date": lambda m: calendar(_order_days(m), m.settings.weekend_days),
@@ -402,7 +416,7 @@ STORED = ("dim_subscription", "fact_transaction")
 ON_STORED = {
     "mart_retention", "mart_retention_corrected", "retention_movements", "retention_event_type",
     "retention_lag_price", "cohort_month_rank", "kpi_retention",
-    "mart_revenue", "mart_revenue_corrected", "mrr_movements", "revenue_event_type",
+    "mart_revenue", "mart_revenue_corrected", "mart_retention_cohort", "mart_revenue_as_of", "mrr_movements", "revenue_event_type",
     "subscription_events", "lag_price", "kpi_revenue", "kpi_plan_mix",
 }
 

@@ -48,6 +48,7 @@ def previous_value(
     period: Column,
     counted_before: bool = False,
     month_rank: str | None = None,
+    first_month: str | None = None,
 ) -> DataFrame:
     """Weighted rows (entity, at, value, *ties, out, copies) with the preceding value.
 
@@ -58,7 +59,8 @@ def previous_value(
     periods, as there may be many of them. Set ``counted_before`` when the input has few equal rows left: they are then
     counted after the shuffle by entity and period instead of before it. ``month_rank`` names
     an extra column: the 0-based dense rank, within the entity, of the month of ``at``
-    (January = 1, whatever the year).
+    (January = 1, whatever the year). ``first_month`` names another: the first day of the
+    entity's first month, NULL if it has no row with a time.
 
     The result is distributed by the SPREAD columns, which it keeps.
     """
@@ -82,7 +84,10 @@ def previous_value(
 
     # The last row of a period stands for it.
     periods = stepped.where("_next IS NULL").select(
-        *SPREAD, F.col(value).alias("_latest"), F.month(at).alias("_month")
+        *SPREAD,
+        F.col(value).alias("_latest"),
+        F.month(at).alias("_month"),
+        F.trunc(F.to_date(at), "MM").alias("_first"),
     )
     of_entity = Window.partitionBy("_known", "_entity")
     carry = F.lag("_latest").over(of_entity.orderBy("_period"))
@@ -90,6 +95,8 @@ def previous_value(
     if month_rank:
         by_month = of_entity.orderBy(F.col("_month").asc_nulls_last())
         found.append((F.dense_rank().over(by_month) - 1).cast("long").alias(month_rank))
+    if first_month:
+        found.append(F.min("_first").over(of_entity).alias(first_month))
     carried = periods.select(*[F.col(k).alias(f"{k}_r") for k in SPREAD], *found)
     same = [F.col(k) == F.col(f"{k}_r") for k in SPREAD]
     joined = stepped.join(carried, same[0] & same[1] & same[2])
@@ -104,6 +111,6 @@ def previous_value(
         at,
         value,
         *ties,
-        *([month_rank] if month_rank else []),
+        *[name for name in (month_rank, first_month) if name],
         F.inline(copies).alias(out, "copies"),
     )

@@ -28,6 +28,9 @@ GRAIN = {
     ],
 }
 
+# Keys that a setting replaces.
+OTHER_KEY = {"current_month": "cohort_month"}
+
 
 def grain_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with their number of rows (n)."""

@@ -9,7 +9,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custarc.operators.quality import GRAIN, grain_check, load_report
+from custarc.operators.quality import GRAIN, OTHER_KEY, grain_check, load_report
 from custarc.plans import core, marts, retention, revenue, staging
 from custarc.plans.intermediate import int_product_usage, int_subscription
 from custarc.settings import Settings
@@ -159,8 +159,9 @@ def check_tables(tables: dict[str, DataFrame]) -> dict[str, int]:
     """Log how many keys of each table repeat; returns the tables with any."""
     repeated = {}
     for name, df in tables.items():
-        if n := grain_check(df, GRAIN[name]).count():
-            log.warning("%s: %d repeated keys (%s)", name, n, ", ".join(GRAIN[name]))
+        keys = [k if k in df.columns else OTHER_KEY[k] for k in GRAIN[name]]
+        if n := grain_check(df, keys).count():
+            log.warning("%s: %d repeated keys (%s)", name, n, ", ".join(keys))
             repeated[name] = n
     return repeated
 

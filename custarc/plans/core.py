@@ -6,11 +6,14 @@ step removes duplicate users.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custarc.functions.keys import surrogate_key
 from custarc.functions.measures import line_total
+from custarc.operators.asof import as_of
 from custarc.operators.identity import usage_with_user_sk
 from custarc.operators.joins import lookup_left, with_user_sk
 from custarc.operators.spine import calendar, date_id, date_spine, with_date_ids
@@ -79,12 +82,33 @@ def with_subscription_sk(transactions: DataFrame, subscriptions: DataFrame) -> D
     )
 
 
+def with_version_as_of(
+    df: DataFrame, subscriptions: DataFrame, day: str, row_id: Sequence[str], columns: Sequence[str] = ("subscription_sk",)
+) -> DataFrame:
+    """``columns`` of the version of the row's user_sk that was valid on ``day``: the user's latest that
+    started by then, nothing if that one has ended by then. A row meets at most one version."""
+    versions = subscriptions.select(
+        "user_sk",
+        F.to_date("valid_from").alias("_start"),
+        # Of versions that start on one day the latest, and the one that holds longest, is taken.
+        F.col("valid_from").alias("_from"),
+        F.coalesce(F.to_date("valid_to"), F.lit("9999-12-31").cast("date")).alias("_until"),
+        *columns,
+    )
+    joined = as_of(df, versions, ("user_sk", "user_sk"), (day, "_start"), ["_from", "_until", *columns], row_id)
+    valid = F.col("_until") > F.col(day)
+    return joined.withColumns({c: F.when(valid, F.col(c)) for c in columns}).drop("_from", "_until")
+
+
 def fact_transaction(
     transactions: DataFrame, subscriptions: DataFrame, users: DataFrame, s: Settings = Settings()
 ) -> DataFrame:
     """Payments; inputs are stg_transaction, dim_subscription and dim_user."""
     with_user = with_user_sk(transactions, "cust_email", users, ["transaction_id"])
-    joined = with_subscription_sk(with_user, subscriptions)
+    if s.subscription_match == "as_of":
+        joined = with_version_as_of(with_user, subscriptions, "transaction_date", ["transaction_id"])
+    else:
+        joined = with_subscription_sk(with_user, subscriptions)
     c = F.col
     return joined.select(
         surrogate_key(c("transaction_id")).alias("transaction_sk"),

@@ -100,7 +100,8 @@ def subscription_months(
 
 def with_old_price(months: DataFrame) -> DataFrame:
     """Adds old_price, the subscription's price before this row, and months_since_start, the
-    rank of the row's month number within the subscription. ``copies`` counts equal rows."""
+    rank of the row's month number within the subscription, and cohort_month, the month of its
+    first row. ``copies`` counts equal rows."""
     return previous_value(
         months,
         entity="subscription_id",
@@ -114,6 +115,7 @@ def with_old_price(months: DataFrame) -> DataFrame:
         ),
         counted_before=True,
         month_rank="months_since_start",
+        first_month="cohort_month",
     )
 
 
@@ -126,9 +128,15 @@ def retention_movements() -> list[Column]:
 def mart_retention(
     subscriptions: DataFrame, transactions: DataFrame, s: Settings = Settings()
 ) -> DataFrame:
-    """current_month x months_since_start x plan_name x billing_cycle x churn_reason."""
+    """current_month (with cohort='first_month': cohort_month) x months_since_start x plan_name x
+    billing_cycle x churn_reason."""
     state = with_old_price(subscription_months(subscriptions, transactions, s))
-    keys = ["current_month", "months_since_start", "plan_name", "billing_cycle", "churn_reason"]
+    month = "current_month"
+    if s.cohort == "first_month":
+        month = "cohort_month"
+        since = months_crossed(F.col("cohort_month"), F.to_date("valid_from")).cast("long")
+        state = state.withColumn("months_since_start", since)
+    keys = [month, "months_since_start", "plan_name", "billing_cycle", "churn_reason"]
     known = F.col("subscription_id").isNotNull()
 
     # Rows are spread by subscription and month (without a subscription, which no distinct count
