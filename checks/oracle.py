@@ -95,6 +95,12 @@ STAGED_TXN = """SELECT transaction_id, customer_id, {mail} AS cust_email, {kind}
  FROM (SELECT *, {cleaned_type} AS cleaned_type FROM transactions)"""
 
 
+def latest(field: str) -> str:
+    """A person's latest known value."""
+    known = f"FILTER (WHERE {field} NOT IN ('', 'Others'))"
+    return f"coalesce(arg_max({field}, {{'c': created_at, 'u': user_id, 'f': {field}}}) {known}, max({field})) AS {field}"
+
+
 def staged_txn(*words: str) -> str:
     return STAGED_TXN.format(
         mail=mail("cust_email"),
@@ -201,6 +207,18 @@ CTES |= {
     "fact_product_usage": f"""SELECT {key("event_id")} AS event_sk, event_id, user_sk, feature_name, event_timestamp,
  cal.id AS event_timestamp_id, session_id, session_duration, device, browser, os, p.country
  FROM int_product_usage p LEFT JOIN dim_user ON email = user_email LEFT JOIN cal ON cal.day = CAST(event_timestamp AS DATE)""",
+    "fact_product_usage_weighted": "SELECT *, count(*) AS copies FROM fact_product_usage GROUP BY ALL",
+    "per_links": """SELECT 'email:' || email AS a, 'id:' || user_id AS b FROM stg_user WHERE email IS NOT NULL AND user_id IS NOT NULL
+ UNION SELECT 'id:' || user_id, 'email:' || email FROM stg_user WHERE email IS NOT NULL AND user_id IS NOT NULL""",
+    "per_reach": """SELECT a AS node, a AS other FROM per_links UNION SELECT per_reach.node, b FROM per_reach JOIN per_links ON a = other""",
+    "per_rows": """SELECT u.*, coalesce(root, node) AS person FROM (SELECT *, coalesce('id:' || user_id, 'email:' || email) AS node FROM stg_user) u
+ LEFT JOIN (SELECT node, min(other) AS root FROM per_reach GROUP BY node) USING (node)""",
+    "per_user": f"""SELECT person, arg_min(user_id, {{'c': created_at, 'u': user_id}}) AS user_id,
+ {", ".join(latest(f) for f in ("email", "first_name", "last_name", "gender", "country", "lead_source", "phone"))},
+ min(signup_date) AS signup_date, min(created_at) AS created_at FROM per_rows GROUP BY person""",
+    "per_mail": f"""SELECT DISTINCT r.email, p.user_id, {key("p.user_id")} AS user_sk FROM per_rows r JOIN per_user p USING (person) WHERE r.email IS NOT NULL""",
+    "per_id": f"""SELECT DISTINCT r.user_id, p.email, {key("p.user_id")} AS user_sk FROM per_rows r JOIN per_user p USING (person)
+ WHERE r.user_id IS NOT NULL""",
     "first_event": """SELECT user_sk, min(event_timestamp) FILTER (WHERE feature_name LIKE 'Feature%') AS first_event_ts
  FROM fact_product_usage WHERE user_sk IS NOT NULL GROUP BY user_sk""",
     "activation": """SELECT user_id, u.user_sk, lead_source, gender, cal.day AS signup_date,
@@ -288,14 +306,15 @@ def chain(final: str, given: frozenset[str] = frozenset(), instead: dict[str, st
     def visit(text: str) -> None:
         for word in dict.fromkeys(re.findall(r"[a-z_]+", text)):
             if word in CTES and word not in given and word not in needed:
-                if re.search(rf"\b(FROM|JOIN)\s+{word}\b", text):
+                # A recursive statement also reads itself.
+                if texts[word] is not text and re.search(rf"\b(FROM|JOIN)\s+{word}\b", text):
                     visit(texts[word])
                     needed[word] = None
 
     visit(final)
     if not needed:
         return final
-    return "WITH " + ",\n".join(f"{n} AS ({texts[n]})" for n in needed) + "\n" + final
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({texts[n]})" for n in needed) + "\n" + final
 
 
 MODELS = (
@@ -304,6 +323,7 @@ MODELS = (
     "dim_user", "dim_subscription", "fact_transaction", "fact_support", "fact_product_usage",
     "mart_acquisition", "mart_engagement", "mart_support", "mart_retention",
     "mart_retention_corrected", "mart_revenue", "mart_revenue_corrected", "mart_retention_cohort", "fact_transaction_as_of",
+    "fact_product_usage_weighted",
 )
 
 
@@ -461,5 +481,11 @@ FINALS["ticket_version_as_of"] = f"""SELECT t.ticket_id, t.user_sk, t.created_da
 # Queries under other settings: the texts that these replace.
 AS_OF = CTES["fact_transaction_as_of"]
 INSTEAD = {"mart_revenue_as_of": {"fact_transaction": AS_OF}}
+PEOPLE = {name: re.sub(r"\bdim_user\b", "per_mail", CTES[name]) for name in ("dim_subscription", "fact_transaction", "fact_support", "fact_product_usage")}
+PEOPLE["int_product_usage"] = CTES["int_product_usage"].replace("stg_user e", "per_mail e").replace("stg_user i", "per_id i")
+PEOPLE["dim_user"] = CTES["dim_user"].replace("FROM stg_user", "FROM per_user")
+for name in ("dim_user", "int_product_usage", "fact_support", "fact_transaction", "fact_product_usage", "mart_engagement"):
+    FINALS[f"{name}_one_per_email"] = f"SELECT * FROM {name}"
+    INSTEAD[f"{name}_one_per_email"] = PEOPLE
 
 ORACLE = {name: chain(final, instead=INSTEAD.get(name)) for name, final in FINALS.items()}

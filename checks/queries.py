@@ -103,6 +103,15 @@ def _with(m: Models, **switches: str) -> Models:
     return replace(m, settings=replace(m.settings, **switches))
 
 
+def _one_per_email(name: str) -> Callable[[Models], DataFrame]:
+    def query(m: Models) -> DataFrame:
+        # People are found in rounds, each of which is stored.
+        people = replace(_with(m, users="one_per_email"), cut=cut_into(scratch_folder(m.spark)))
+        return getattr(people, name).drop("loaded_at")
+
+    return query
+
+
 def _ticket_versions(m: Models) -> DataFrame:
     tickets = m.fact_support.select("ticket_id", "user_sk", F.to_date("created_at").alias("created_date"))
     columns = ["subscription_sk", "plan_name", "status"]
@@ -174,6 +183,11 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "mart_retention_corrected": _retention_corrected,
     "mart_revenue_corrected": _revenue_corrected,
     "mart_retention_cohort": lambda m: _with(m, cohort="first_month").mart_retention,
+    "fact_product_usage_weighted": lambda m: m.fact_product_usage_weighted.drop("loaded_at"),
+    **{
+        f"{name}_one_per_email": _one_per_email(name)
+        for name in ("dim_user", "int_product_usage", "fact_support", "fact_transaction", "fact_product_usage", "mart_engagement")
+    },
     "fact_transaction_as_of": lambda m: _with(m, subscription_match="as_of").fact_transaction.drop("loaded_at"),
     "mart_revenue_as_of": lambda m: _with(m, subscription_match="as_of").mart_revenue,
     "ticket_version_as_of": _ticket_versions,

@@ -22,13 +22,14 @@ def _with_email(usage: DataFrame, users: DataFrame) -> DataFrame:
     return joined.withColumn("found_email", found).drop("_email_of_id")
 
 
-def repair_identity(usage: DataFrame, users: DataFrame) -> DataFrame:
+def repair_identity(usage: DataFrame, users: DataFrame, emails: DataFrame | None = None) -> DataFrame:
     """user_id: own, else that of the e-mail; user_email: own, else that of the id.
 
     Both lookups run for every row, so a row is repeated for each user sharing its e-mail
-    and for each user sharing its id.
+    and for each user sharing its id. ``emails`` (email, user_id) is looked up instead of ``users``
+    where it is given.
     """
-    by_email = users.select(F.col("email").alias("_email"), F.col("user_id").alias("_id_of_email"))
+    by_email = (users if emails is None else emails).select(F.col("email").alias("_email"), F.col("user_id").alias("_id_of_email"))
     both = lookup_left(_with_email(usage, users), by_email, "user_email", "_email", ["event_id"])
     return both.withColumns(
         {
@@ -38,24 +39,30 @@ def repair_identity(usage: DataFrame, users: DataFrame) -> DataFrame:
     ).drop("found_email", "_id_of_email")
 
 
-def usage_with_user_sk(usage: DataFrame, dim_user: DataFrame) -> DataFrame:
+def weighted_usage(usage: DataFrame, users: DataFrame, emails: DataFrame | None = None) -> DataFrame:
     """``repair_identity`` followed by the user lookup, with one e-mail join instead of two.
 
     An event with an own e-mail shared by k users is repeated k times by the repair and each
     copy meets k users. Both joins have the same key, so one join brings the users together
-    with k, and the row is then repeated k times.
+    with k: an event stays k rows, and ``copies`` says that each stands for k equal ones.
+    ``users`` has user_id, email and user_sk; ``emails`` (email, user_sk) is looked up instead of it
+    where it is given.
     """
-    shared = dim_user.where("email IS NOT NULL").groupBy("email").agg(F.count("*").alias("_k"))
-    by_email = dim_user.select("email", "user_sk").join(shared, "email")
+    by_email = users if emails is None else emails
+    shared = by_email.where("email IS NOT NULL").groupBy("email").agg(F.count("*").alias("_k"))
+    by_email = by_email.select("email", "user_sk").join(shared, "email")
     own_email = F.col("user_email").isNotNull()
     looked_up = lookup_left(
-        _with_email(usage, dim_user).withColumn("_own", own_email),
+        _with_email(usage, users).withColumn("_own", own_email),
         by_email,
         "found_email",
         "email",
         ["event_id"],
     )
-    copies = F.when(F.col("_own"), F.coalesce("_k", F.lit(1))).otherwise(F.lit(1))
-    return looked_up.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies.cast("int")))).drop(
-        "_own", "_k", "_copy", "found_email"
-    )
+    copies = F.when(F.col("_own"), F.coalesce("_k", F.lit(1))).otherwise(F.lit(1)).cast("long")
+    return looked_up.withColumn("copies", copies).drop("_own", "_k", "found_email")
+
+
+def each_copy(df: DataFrame, copies: str = "copies") -> DataFrame:
+    """Every row as often as its column ``copies`` says, without that column."""
+    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).drop(copies, "_copy")

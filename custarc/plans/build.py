@@ -9,6 +9,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from custarc.operators.identity import each_copy
+from custarc.operators.people import People, one_per_person
 from custarc.operators.quality import GRAIN, OTHER_KEY, grain_check, load_report
 from custarc.plans import core, marts, retention, revenue, staging
 from custarc.plans.intermediate import int_product_usage, int_subscription
@@ -57,9 +59,23 @@ class Models:
     def stg_product_usage(self) -> DataFrame:
         return staging.stg_product_usage(self.sources.product_usage)
 
+    @cached_property
+    def people(self) -> People:
+        return one_per_person(self.stg_user, self.cut)
+
+    @cached_property
+    def user_keys(self) -> tuple[DataFrame, DataFrame]:
+        """What events are looked up in: by id (user_id, email, user_sk) and by e-mail (email, user_sk)."""
+        if self.settings.users == "reference":
+            return self.dim_user, self.dim_user
+        ids, emails = core.person_keys(self.people)
+        return self.cut(ids, "user_ids"), self.cut(emails, "user_emails")
+
     @cached_property
     def int_product_usage(self) -> DataFrame:
-        return int_product_usage(self.stg_product_usage, self.stg_user)
+        if self.settings.users == "reference":
+            return int_product_usage(self.stg_product_usage, self.stg_user)
+        return int_product_usage(self.stg_product_usage, *self.user_keys)
 
     @cached_property
     def int_subscription(self) -> DataFrame:
@@ -71,38 +87,46 @@ class Models:
 
     @cached_property
     def dim_user(self) -> DataFrame:
-        return self.store(core.dim_user(self.stg_user, self.settings), "dim_user")
+        if self.settings.users == "reference":
+            return self.store(core.dim_user(self.stg_user, self.settings), "dim_user")
+        return self.store(core.dim_person(self.people, self.settings), "dim_user")
 
     @cached_property
     def dim_subscription(self) -> DataFrame:
-        df = core.dim_subscription(self.int_subscription, self.dim_user, self.settings)
+        df = core.dim_subscription(self.int_subscription, self.user_keys[1], self.settings)
         return self.store(df, "dim_subscription")
 
     @cached_property
     def fact_transaction(self) -> DataFrame:
         df = core.fact_transaction(
-            self.stg_transaction, self.dim_subscription, self.dim_user, self.settings
+            self.stg_transaction, self.dim_subscription, self.user_keys[1], self.settings
         )
         return self.store(df, "fact_transaction")
 
     @cached_property
     def fact_support(self) -> DataFrame:
-        df = core.fact_support(self.stg_support_ticket, self.dim_user, self.settings)
+        df = core.fact_support(self.stg_support_ticket, self.user_keys[1], self.settings)
         return self.store(df, "fact_support")
 
+    @cached_property
+    def fact_product_usage_weighted(self) -> DataFrame:
+        """What the usage marts read; the stored fact is its copies written out."""
+        ids, emails = self.user_keys
+        df = core.fact_product_usage_weighted(self.stg_product_usage, ids, self.settings, emails)
+        return self.cut(df, "fact_product_usage_weighted")
+
     @cached_property
     def fact_product_usage(self) -> DataFrame:
-        df = core.fact_product_usage(self.stg_product_usage, self.dim_user, self.settings)
-        return self.store(df, "fact_product_usage")
+        return self.store(each_copy(self.fact_product_usage_weighted), "fact_product_usage")
 
     @cached_property
     def mart_acquisition(self) -> DataFrame:
-        df = marts.mart_acquisition(self.dim_user, self.fact_product_usage, self.settings)
+        df = marts.mart_acquisition(self.dim_user, self.fact_product_usage_weighted, self.settings)
         return self.store(df, "mart_acquisition")
 
     @cached_property
     def mart_engagement(self) -> DataFrame:
-        df = marts.mart_engagement(self.fact_product_usage, self.settings)
+        df = marts.mart_engagement(self.fact_product_usage_weighted, self.settings)
         return self.store(df, "mart_engagement")
 
     @cached_property

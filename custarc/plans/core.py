@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from custarc.functions.keys import surrogate_key
 from custarc.functions.measures import line_total
 from custarc.operators.asof import as_of
-from custarc.operators.identity import usage_with_user_sk
+from custarc.operators.identity import each_copy, weighted_usage
 from custarc.operators.joins import lookup_left, with_user_sk
+from custarc.operators.people import People
 from custarc.operators.spine import calendar, date_id, date_spine, with_date_ids
 from custarc.settings import Settings
 
@@ -44,6 +45,22 @@ def dim_user(users: DataFrame, s: Settings = Settings()) -> DataFrame:
     )
 
 
+def dim_person(people: People, s: Settings = Settings()) -> DataFrame:
+    """dim_user of people. A person without an id is keyed by the e-mail."""
+    users = dim_user(people.users, s)
+    return users.withColumn("user_sk", F.when(F.col("user_id").isNull(), surrogate_key(F.col("email"))).otherwise(F.col("user_sk")))
+
+
+def person_keys(people: People) -> tuple[DataFrame, DataFrame]:
+    """((user_id, email, user_sk), (email, user_id, user_sk)): every id and every e-mail that occurs, once,
+    with the key of its person."""
+    key = people.users.select(
+        "person", surrogate_key(F.coalesce("user_id", "email")).alias("user_sk")
+    )
+    ids = people.ids.join(key, "person").select("user_id", "email", "user_sk")
+    return ids, people.emails.join(key, "person").select("email", "user_id", "user_sk")
+
+
 def dim_subscription(subscriptions: DataFrame, users: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Subscription versions; ``subscriptions`` is int_subscription, ``users`` dim_user."""
     joined = with_user_sk(subscriptions, "customer_email", users, ["subscription_id", "valid_from"])
@@ -155,7 +172,7 @@ def fact_support(tickets: DataFrame, users: DataFrame, s: Settings = Settings())
     )
 
 
-def _usage_fact(joined: DataFrame, s: Settings) -> DataFrame:
+def _usage_fact(joined: DataFrame, s: Settings, *more: str) -> DataFrame:
     return joined.select(
         surrogate_key(F.col("event_id")).alias("event_sk"),
         "event_id",
@@ -169,14 +186,22 @@ def _usage_fact(joined: DataFrame, s: Settings) -> DataFrame:
         "browser",
         "os",
         "country",
+        *more,
         _loaded_at(s),
     )
 
 
-def fact_product_usage(usage: DataFrame, users: DataFrame, s: Settings = Settings()) -> DataFrame:
+def fact_product_usage_weighted(
+    usage: DataFrame, users: DataFrame, s: Settings = Settings(), emails: DataFrame | None = None
+) -> DataFrame:
     """Usage events straight from stg_product_usage and dim_user, repairing identities on the
-    way with two shuffles of the events."""
-    return _usage_fact(usage_with_user_sk(usage, users), s)
+    way with two shuffles of the events. Equal rows are one row with their number in ``copies``."""
+    return _usage_fact(weighted_usage(usage, users, emails), s, "copies")
+
+
+def fact_product_usage(usage: DataFrame, users: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """The same with every copy a row."""
+    return each_copy(fact_product_usage_weighted(usage, users, s))
 
 
 def fact_product_usage_of_repaired(

@@ -10,8 +10,8 @@ from custarc.operators.identity import repair_identity
 from custarc.operators.joins import lookup_left
 
 
-def int_product_usage(usage: DataFrame, users: DataFrame) -> DataFrame:
-    return repair_identity(usage, users).select(
+def int_product_usage(usage: DataFrame, users: DataFrame, emails: DataFrame | None = None) -> DataFrame:
+    return repair_identity(usage, users, emails).select(
         "event_id",
         "user_id",
         "user_email",

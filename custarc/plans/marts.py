@@ -72,16 +72,18 @@ def mart_acquisition(users: DataFrame, usage: DataFrame, s: Settings = Settings(
 
 
 def mart_engagement(usage: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """user_sk x event_date x feature_name, from fact_product_usage."""
+    """user_sk x event_date x feature_name, from fact_product_usage or its weighted form, whose rows
+    count as often as their ``copies`` say."""
+    copies = F.col("copies") if "copies" in usage.columns else F.lit(1).cast("long")
     return (
         known_users(usage)
         .groupBy(
             "user_sk", full_date(F.col("event_timestamp_id"), s).alias("event_date"), "feature_name"
         )
         .agg(
-            F.count("event_id").alias("total_events"),
+            F.sum(F.when(F.col("event_id").isNotNull(), copies).otherwise(0)).alias("total_events"),
             F.count_distinct("session_id").alias("distinct_sessions"),
-            F.sum(F.coalesce("session_duration", F.lit(0))).alias("sum_session_duration"),
+            F.sum(F.coalesce("session_duration", F.lit(0)) * copies).alias("sum_session_duration"),
         )
     )
 
