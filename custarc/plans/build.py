@@ -7,16 +7,17 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from custarc.operators.identity import each_copy
 from custarc.operators.people import People, one_per_person
-from custarc.operators.quality import GRAIN, OTHER_KEY, grain_check, load_report
+from custarc.operators.quality import GRAIN, counted, load_report, repeated_keys
 from custarc.plans import core, marts, retention, revenue, staging
 from custarc.plans.intermediate import int_product_usage, int_subscription
 from custarc.settings import Settings
 from custarc.sinks.export import export_marts
-from custarc.sinks.tables import cut_into, register_view, scratch_folder, write_table
+from custarc.sinks.tables import cut_into, drop_folder, register_view, replace_table, scratch_folder
 from custarc.sources.files import load_raw
 from custarc.sources.raw import Sources
 
@@ -28,7 +29,8 @@ log = logging.getLogger(__name__)
 class Models:
     """All models over one set of sources, each built once and lazily on first use.
 
-    ``store(df, name)`` is applied to every core table and mart. By default nothing is stored
+    ``counted(df, name)`` is applied to each source once, where it is the side of a plan that keeps
+    all its rows. ``store(df, name)`` is applied to every core table and mart. By default nothing is stored
     and a model is one plan from the sources; a store that writes and reads back makes the
     later models start from files.
     """
@@ -38,6 +40,7 @@ class Models:
     settings: Settings = Settings()
     store: Callable[[DataFrame, str], DataFrame] = lambda df, name: df
     cut: Callable[[DataFrame, str], DataFrame] = lambda df, name: df
+    counted: Callable[[DataFrame, str], DataFrame] = lambda df, name: df
 
     @cached_property
     def stg_user(self) -> DataFrame:
@@ -61,7 +64,7 @@ class Models:
 
     @cached_property
     def people(self) -> People:
-        return one_per_person(self.stg_user, self.cut)
+        return one_per_person(self.cut(self.counted(self.stg_user, "users"), "stg_user"), self.cut)
 
     @cached_property
     def user_keys(self) -> tuple[DataFrame, DataFrame]:
@@ -69,7 +72,7 @@ class Models:
         if self.settings.users == "reference":
             return self.dim_user, self.dim_user
         ids, emails = core.person_keys(self.people)
-        return self.cut(ids, "user_ids"), self.cut(emails, "user_emails")
+        return self.store(ids, "user_ids"), self.store(emails, "user_emails")
 
     @cached_property
     def int_product_usage(self) -> DataFrame:
@@ -88,31 +91,34 @@ class Models:
     @cached_property
     def dim_user(self) -> DataFrame:
         if self.settings.users == "reference":
-            return self.store(core.dim_user(self.stg_user, self.settings), "dim_user")
+            return self.store(core.dim_user(self.counted(self.stg_user, "users"), self.settings), "dim_user")
         return self.store(core.dim_person(self.people, self.settings), "dim_user")
 
     @cached_property
     def dim_subscription(self) -> DataFrame:
-        df = core.dim_subscription(self.int_subscription, self.user_keys[1], self.settings)
+        subscriptions = int_subscription(self.counted(self.stg_subscription, "subscriptions"), self.stg_transaction)
+        df = core.dim_subscription(subscriptions, self.user_keys[1], self.settings)
         return self.store(df, "dim_subscription")
 
     @cached_property
     def fact_transaction(self) -> DataFrame:
         df = core.fact_transaction(
-            self.stg_transaction, self.dim_subscription, self.user_keys[1], self.settings
+            self.counted(self.stg_transaction, "transactions"), self.dim_subscription, self.user_keys[1], self.settings
         )
         return self.store(df, "fact_transaction")
 
     @cached_property
     def fact_support(self) -> DataFrame:
-        df = core.fact_support(self.stg_support_ticket, self.user_keys[1], self.settings)
+        tickets = self.counted(self.stg_support_ticket, "support_tickets")
+        df = core.fact_support(tickets, self.user_keys[1], self.settings)
         return self.store(df, "fact_support")
 
     @cached_property
     def fact_product_usage_weighted(self) -> DataFrame:
         """What the usage marts read; the stored fact is its copies written out."""
         ids, emails = self.user_keys
-        df = core.fact_product_usage_weighted(self.stg_product_usage, ids, self.settings, emails)
+        usage = self.counted(self.stg_product_usage, "product_usage")
+        df = core.fact_product_usage_weighted(usage, ids, self.settings, emails)
         return self.cut(df, "fact_product_usage_weighted")
 
     @cached_property
@@ -157,36 +163,62 @@ TABLES = (
 )
 
 
+KEY_ORDER = ("subscription_sk", "valid_from")
+
+
+def in_key_order(df: DataFrame) -> DataFrame:
+    """dim_subscription in key order from file to file. The ranges are cut over key and a hash of the
+    row, so that a key with many rows can be split. ``df`` is read twice, once to find the ranges."""
+    tie = F.xxhash64(*df.columns)
+    order = [*map(F.col, KEY_ORDER), F.col("_tie")]
+    return df.withColumn("_tie", tie).repartitionByRange(*order).sortWithinPartitions(*order).drop("_tie")
+
+
 def build(
-    spark: SparkSession, sources: Sources, location: str, settings: Settings = Settings()
+    spark: SparkSession,
+    sources: Sources,
+    location: str,
+    settings: Settings = Settings(),
+    counts: dict[str, int] | None = None,
 ) -> dict[str, DataFrame]:
-    """Register the views, write every table under ``location`` and return the tables.
+    """Register the views, replace every table under ``location`` and return the tables.
 
     Each table is computed from the stored ones before it, so losing executors never costs
-    more than the table being written.
+    more than the table being written, and a table that can't be written stays as it was. ``counts``
+    receives the rows of every source and table, which are counted on the way.
     """
+    scratch = scratch_folder(spark)
+    cut = cut_into(scratch)
+    seen: dict[str, Observation] = {}
+
+    def count(df: DataFrame, name: str) -> DataFrame:
+        df, seen[name] = counted(df, name)
+        return df
 
     def store(df: DataFrame, name: str) -> DataFrame:
         if name == "dim_subscription":
-            # Rows of a file are kept in key order; a total order would cost another shuffle
-            # and put all copies of a key into one task.
-            df = df.sortWithinPartitions("subscription_sk", "valid_from")
-        return write_table(df, location, name)
+            df = in_key_order(cut(df, name))
+        return replace_table(count(df, name), location, name)
 
-    models = Models(spark, sources, settings, store, cut_into(scratch_folder(spark)))
+    models = Models(spark, sources, settings, store, cut, count)
     for name in VIEWS:
         register_view(getattr(models, name), name)
-    return {name: getattr(models, name) for name in TABLES}
+    try:
+        tables = {name: getattr(models, name) for name in TABLES}
+    finally:
+        drop_folder(spark, scratch)
+    if counts is not None:
+        counts.update({name: one.get["rows"] for name, one in seen.items()})
+    return tables
 
 
-def check_tables(tables: dict[str, DataFrame]) -> dict[str, int]:
-    """Log how many keys of each table repeat; returns the tables with any."""
-    repeated = {}
-    for name, df in tables.items():
-        keys = [k if k in df.columns else OTHER_KEY[k] for k in GRAIN[name]]
-        if n := grain_check(df, keys).count():
-            log.warning("%s: %d repeated keys (%s)", name, n, ", ".join(keys))
-            repeated[name] = n
+def check_tables(spark: SparkSession, tables: dict[str, DataFrame], location: str) -> dict[str, int]:
+    """Store the repeated keys of all tables as the table repeated_keys, log how many there are, and
+    return the tables with any."""
+    found = replace_table(repeated_keys(tables), location, "repeated_keys")
+    repeated = {r["table"]: r["n"] for r in found.groupBy("table").agg(F.count("*").alias("n")).collect()}
+    for name, n in repeated.items():
+        log.warning("%s: %d repeated keys (%s)", name, n, ", ".join(GRAIN[name]))
     return repeated
 
 
@@ -208,15 +240,19 @@ def run(
     **options: str,
 ) -> dict[str, DataFrame]:
     """Load a folder of raw files, build everything and export the marts. Row counts of the raw
-    tables and repeated keys of the built ones are logged; a failed export raises ExportError
+    and the built tables are logged, repeated keys stored; a failed export raises ExportError
     after the others are done. ``options`` are those of the CSV reader."""
     raw = load_raw(spark, data_folder, **options)
     if not raw:
         raise ValueError(f"no table in {data_folder}")
-    for row in load_report(raw).collect():
+    counts: dict[str, int] = {}
+    tables = build(spark, Sources.of(raw), location, settings, counts)
+    # Sources are counted while they are built; only other tables of the folder are read for it.
+    for row in load_report(raw, known=counts).collect():
         log.info("%s.%s: %d rows", *row)
-    tables = build(spark, Sources.of(raw), location, settings)
-    check_tables(tables)
+    for name in tables:
+        log.info("%s: %d rows", name, counts[name])
+    check_tables(spark, tables, location)
     if export_folder:
         result = export_marts(spark, location, export_folder)
         if {"missing", "failed"} & set(result.values()):
