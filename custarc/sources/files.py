@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from custarc.sources.csv_records import read_records
 from custarc.sources.raw import COLUMNS
 
 log = logging.getLogger(__name__)
@@ -17,15 +18,18 @@ log = logging.getLogger(__name__)
 DELIMITERS = (",", ";", "\t", "|")
 
 
-def _matching(spark: SparkSession, folder: str, suffix: str) -> dict[str, str]:
-    """Lower-cased stem -> path of the files (or folders of part files) named *.suffix."""
+def _matching(spark: SparkSession, folder: str, suffix: str) -> dict[str, tuple[str, int]]:
+    """Lower-cased stem -> (path, bytes of the largest file) of the files, or folders of part files,
+    named *.suffix."""
     root = folder.rstrip("/")
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     # Only paths are read. A table is the first level below the folder, one row per table here.
     name = F.regexp_extract("path", rf"/([^/]+\.{suffix})(?:/|$)", 1)
-    found = listed.select(name.alias("name")).where("name != ''").distinct().collect()
-    names = sorted(r["name"] for r in found)
-    return {n[: -len(suffix) - 1].lower(): f"{root}/{n}" for n in names}
+    found = listed.select(name.alias("name"), "length").where("name != ''").groupBy("name").agg(F.max("length").alias("length"))
+    return {
+        r["name"][: -len(suffix) - 1].lower(): (f"{root}/{r['name']}", r["length"])
+        for r in sorted(found.collect(), key=lambda r: r["name"])
+    }
 
 
 def delimiter_of(spark: SparkSession, path: str) -> str:
@@ -35,20 +39,28 @@ def delimiter_of(spark: SparkSession, path: str) -> str:
     return max(DELIMITERS, key=header.count)
 
 
-def _read_csv(spark: SparkSession, name: str, path: str, **options: str) -> DataFrame:
-    """Quotes are doubled inside quotes, and a quoted value may span lines. That makes a file
-    one task, so large tables belong into folders of part files, or Parquet; ``multiLine=False``
-    splits files that have no line breaks in values."""
+# Options that leave the records of a file as ``records`` finds them.
+_PARALLEL = {"sep", "mode", "nullValue", "emptyValue", "nanValue", "dateFormat", "timestampFormat"}
+
+
+def _read_csv(spark: SparkSession, name: str, path: str, size: int, **options: str) -> DataFrame:
+    """Quotes are doubled inside quotes, and a quoted value may span lines. Spark reads such a file
+    in one task; one that is larger than a split is put together from its splits instead, unless
+    options say otherwise. ``multiLine=False`` splits files that have no line breaks in values."""
     # Known sources stay text, to be cast by name; an unknown table has its types inferred,
     # which costs one more pass over that file.
     infer = name not in COLUMNS
     defaults = {"header": True, "inferSchema": infer, "quote": '"', "escape": '"', "multiLine": True}
     if "sep" not in options:
         defaults["sep"] = delimiter_of(spark, path)
+    # As a number of bytes, whatever unit it is set in.
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    if size > split and _PARALLEL >= options.keys() and len(sep := options.get("sep", defaults.get("sep"))) == 1:
+        return read_records(spark, path, sep, infer, **{k: v for k, v in options.items() if k != "sep"})
     return spark.read.options(**{**defaults, **options}).csv(path)
 
 
-def _read_parquet(spark: SparkSession, name: str, path: str, **options: str) -> DataFrame:
+def _read_parquet(spark: SparkSession, name: str, path: str, size: int, **options: str) -> DataFrame:
     return spark.read.options(**options).parquet(path)
 
 
@@ -69,8 +81,8 @@ def load_raw(
         found = _matching(spark, folder, fmt)
         if not found:
             log.warning("no *.%s file in %s", fmt, folder)
-        for name, path in found.items():
-            tables[name] = _READERS[fmt](spark, name, path, **(options if fmt == "csv" else {}))
+        for name, (path, size) in found.items():
+            tables[name] = _READERS[fmt](spark, name, path, size, **(options if fmt == "csv" else {}))
     return tables
 
 
