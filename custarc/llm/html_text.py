@@ -4,15 +4,23 @@ A page is read once into blocks: stretches of text between block-level tags. Scr
 raw elements, comments and the head are no text.
 
 First pass. Each block is judged on its own by its share of stop words, its length and its share of
-linked characters, and by where it stands: parts that are marked as navigation, page header or
-footer, sidebar, notice, advert, form or reader comments are bad; inside an article or main element
-a block needs no stop words, only few links. Short blocks without links stay ambiguous.
+linked characters; inside an article or main element a block needs no stop words, only few links. Short
+blocks without links stay ambiguous. A page whose long blocks have hardly any stop words is in a language
+that is not known here: then length and links alone decide.
 
-Two marks are only doubts: a form, which may wrap a whole page, and inside an article a class or id
-other than those of reader comments and adverts. Such a part is bad unless its blocks with few links
-are together long and rich in stop words; then they are judged by where the part stands. An article
-or main element leaves a form. In an article the names of headings and the ids of sections, which are
-anchors, mark nothing, except that a section's id can mark reader comments.
+Where a block stands comes before that: elements made for navigation, page header or footer, asides,
+notices and forms are bad, and so is what is hidden. An article or main element leaves a menu, a page
+header, an aside or a form, whatever its own class. Class and id words are a prior only:
+
+* A name that says reader comments, advert or consent and nothing else marks a bad part.
+* Any other name with a suspect word - also one of these beside further words, as in comments-open - is
+  a doubt, which an article or main element inside it leaves. In an article a doubtful part is bad
+  unless its blocks with few links are together long and rich in stop words. Outside, it is bad if
+  the page has an article with text; without one, the longest such part counts if it holds more than
+  the blocks free of doubt do. Then its blocks are judged like all others.
+
+A form is a doubt too, as it may wrap a whole page. In an article the names of headings and the ids of
+sections, which are anchors, mark nothing, except that a section's id can mark reader comments.
 
 Second pass. Ambiguous blocks take the label of the nearest decided neighbours: where both sides
 agree, that one; else the nearer side's; at equal distance the label of the block that follows, as
@@ -83,6 +91,13 @@ FOREIGN_NAMES = READER_NAMES | frozenset(
     popup promo promotion sponsor sponsored
     """.split()
 )
+# Words that say what kind of element it is, not what it holds.
+PART_NAMES = frozenset(
+    """
+    area banner bar block bottom box column container content footer form group header inner item left list main modal
+    notice outer panel popup right section slot text thread top unit widget wrap wrapper
+    """.split()
+)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LAYOUT_NAMES = frozenset("has no with without".split())  # the name behind them says what a page has
 GOOD_NAMES = frozenset("article content entry main post story".split())
@@ -91,7 +106,7 @@ _TOKEN = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>?|[^<]+|<""",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'=<>`]+))?""")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -105,45 +120,75 @@ class _Block:
         self.place, self.heading, self.doubt = place, heading, doubt
 
 
+def _attributes(text: str) -> dict[str, str]:
+    """The first value of each attribute of a tag, by lower-case name."""
+    found: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), value.strip("\"'"))
+    return found
+
+
+def _is_hidden(of: dict[str, str]) -> bool:
+    return "hidden" in of or of.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(of.get("style", "")))
+
+
+def _suspect(tag: str, of: dict[str, str], inside: int) -> tuple[set[str], bool]:
+    """The suspect words of class and id, and whether a name says that a part is foreign to the article."""
+    words_of = lambda name: [w.lower() for w in _NAME.findall(name)]
+    names = [words_of(n) for n in of.get("class", "").split()]
+    own = [words_of(n) for n in of.get("id", "").split()]
+    if inside > 0 and tag in HEADINGS:
+        return set(), False
+    if inside > 0 and tag == "section":
+        own = [n for n in own if not READER_NAMES.isdisjoint(n)]
+    found, foreign = set(), False
+    for words in names + own:
+        suspect = {w for before, w in zip(["", *words], words) if w in BAD_NAMES and before not in LAYOUT_NAMES}
+        found |= suspect
+        foreign |= bool(suspect & FOREIGN_NAMES) and all(w in BAD_NAMES or w in PART_NAMES for w in words)
+    return found, foreign
+
+
 def _place(tag: str, attributes: str, inside: int, doubt: str) -> tuple[int, str]:
     """-1 in a part that is no main text, 1 in the article, 0 elsewhere; and what makes that
     doubtful: "form", "name" or nothing. From those of the part around it."""
     if inside < 0:
         return -1, ""
-    named, role = [], ""
-    for name, value in _ATTRIBUTE.findall(attributes):
-        value, name = value.strip("\"'"), name.lower()
-        if name == "role":
-            role = value.lower()
-        elif name in ("class", "id"):
-            words = [w.lower() for w in _NAME.findall(value)]
-            if inside > 0 and tag in HEADINGS:
-                words = []
-            elif inside > 0 and tag == "section" and name == "id":
-                words = [w for w in words if w not in BAD_NAMES or w in READER_NAMES]
-            named += [w for before, w in zip(["", *words], words) if before not in LAYOUT_NAMES]
-        elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or _HIDDEN.search(value):
-            return -1, ""
+    of = _attributes(attributes)
+    if _is_hidden(of):
+        return -1, ""
+    role = of.get("role", "").lower()
+    if tag in GOOD_TAGS or role in ("main", "article"):
+        # Single comments are articles too, and say so in a word.
+        comment = any(n.lower() in READER_NAMES for n in f"{of.get('class', '')} {of.get('id', '')}".split())
+        return (-1, "") if comment else (1, doubt if inside > 0 and doubt == "name" else "")
     form = tag == "form" or role == "form"
     if not form and (tag in BAD_TAGS and not (tag == "header" and inside > 0) or role in BAD_ROLES):
         return -1, ""
+    if tag in ("body", "html"):
+        return inside, doubt
+    suspect, foreign = _suspect(tag, of, inside)
+    if foreign:
+        return -1, ""
     # An article may have a header of its own.
-    bad = BAD_NAMES.intersection(named) - ({"header"} if inside > 0 else set()) - ({"form"} if form else set())
-    if tag not in ("body", "html") and bad:
-        if inside <= 0 or bad & FOREIGN_NAMES:
-            return -1, ""
-        return 1, "name"
-    if tag in GOOD_TAGS or role in ("main", "article"):
-        return 1, doubt if doubt == "name" else ""
-    if tag in ("div", "section") and not GOOD_NAMES.isdisjoint(named):
+    if suspect - ({"header"} if inside > 0 else set()) - ({"form"} if form else set()):
+        return inside, "name"
+    named = {w.lower() for w in _NAME.findall(f"{of.get('class', '')} {of.get('id', '')}")}
+    if tag in ("div", "section") and doubt != "name" and not GOOD_NAMES.isdisjoint(named):
         return 1, doubt
     return inside, doubt or ("form" if form else "")
 
 
+def _may_hide(attributes: str) -> bool:
+    low = attributes.lower()
+    return "hidden" in low or "none" in low
+
+
 def blocks_of(page: str) -> Iterator[_Block]:
     """The blocks of a page that hold text, in page order."""
     stack: list[tuple[str, int, str, int]] = []
     links = doubts = 0
+    unseen: list[str] = []  # open inline elements of a hidden one, itself included
     block = _Block(0, False)
     at, end = 0, len(page)
     while at < end:
@@ -152,7 +197,7 @@ def blocks_of(page: str) -> Iterator[_Block]:
         tag = m[2] or m[5]
         if not tag:
             text = m[0]
-            if text[0] != "<" or text == "<":
+            if (text[0] != "<" or text == "<") and not unseen:
                 (block.linked if links else block.parts).append(text)
                 if links:
                     block.parts.append(text)
@@ -169,7 +214,14 @@ def blocks_of(page: str) -> Iterator[_Block]:
         if tag == "br":
             block.parts.append(" ")
         if tag not in BLOCK:
+            if closing and unseen and tag in unseen:
+                while unseen.pop() != tag:
+                    pass
+            elif not closing and tag not in VOID and (unseen or _may_hide(attributes) and _is_hidden(_attributes(attributes))):
+                unseen.append(tag)
             continue
+        if closing:
+            unseen = []  # left open
         if block.parts:
             yield block
         links = 0
@@ -209,17 +261,41 @@ def _stops(text: str) -> float:
     return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
 
 
-def kept_doubts(found: list[tuple[_Block, str]]) -> set[int]:
-    """The doubtful parts whose blocks with few links are together long and rich in stop words."""
+def _richness(found: list[tuple[_Block, str]]):
+    """The share of stop words of a text; 1 for every text of a page in an unknown language."""
+    long = " ".join(t for b, t in found if b.place >= 0 and len(t) >= SHORT and _linked(b, t) < LINKED)
+    if long and _stops(long) < STOPS_LOW / 3:
+        return lambda text: 1.0
+    return _stops
+
+
+def kept_doubts(found: list[tuple[_Block, str]], rich) -> set[int]:
+    """The doubtful parts that hold main text after all."""
     texts: dict[int, list[str]] = {}
+    inside: set[int] = set()
+    sure, article = 0, False
     for block, text in found:
-        if block.doubt and _linked(block, text) < LINKED:
+        if block.place < 0:
+            continue
+        few_links = _linked(block, text) < LINKED
+        if block.doubt and few_links:
             texts.setdefault(block.doubt, []).append(text)
+            if block.place > 0:
+                inside.add(block.doubt)
+        elif not block.doubt and judged(block, text, rich) == 1:
+            sure += len(text)
+            article |= block.place > 0
     whole = {k: " ".join(t) for k, t in texts.items()}
-    return {k for k, t in whole.items() if len(t) >= LONG and _stops(t) >= STOPS_HIGH}
+    possible = {k for k, t in whole.items() if len(t) >= LONG and rich(t) >= STOPS_HIGH}
+    kept = possible & inside
+    if not article and not kept:
+        for k in sorted(possible, key=lambda k: len(whole[k]), reverse=True)[:1]:
+            if len(whole[k]) > sure:
+                kept.add(k)
+    return kept
 
 
-def judged(block: _Block, text: str) -> int | None:
+def judged(block: _Block, text: str, rich=_stops) -> int | None:
     """1 good, -1 bad, None ambiguous."""
     if block.place < 0:
         return -1
@@ -230,7 +306,7 @@ def judged(block: _Block, text: str) -> int | None:
         return 1 if len(text) >= SHORT or not links else None
     if len(text) < SHORT:
         return None if not links else -1
-    stops = _stops(text)
+    stops = rich(text)
     if stops >= STOPS_HIGH:
         return 1 if len(text) >= LONG else None
     return None if stops >= STOPS_LOW else -1
@@ -238,8 +314,10 @@ def judged(block: _Block, text: str) -> int | None:
 
 def main_text(page: str | None) -> str:
     found = [(b, t) for b in blocks_of(page or "") if (t := _clean(b.parts))]
-    sure = kept_doubts(found)
-    labels = [judged(b, t) if not b.doubt or b.doubt in sure else -1 for b, t in found]
+    # Inside an article stop words don't matter unless there is a doubt.
+    rich = _richness(found) if any(b.place == 0 or b.doubt for b, t in found) else _stops
+    sure = kept_doubts(found, rich) if any(b.doubt for b, _ in found) else set()
+    labels = [judged(b, t, rich) if not b.doubt or b.doubt in sure else -1 for b, t in found]
     before, last = [], None
     for k, label in enumerate(labels):
         last = k if label is not None else last
