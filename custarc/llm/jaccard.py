@@ -22,7 +22,8 @@ block:
   all its sets are summed shingle by shingle. A tile returns counts, never pairs.
 
 The global order only decides how much work there is, never the result. It ranks the ORDERED most
-frequent shingles, counted over all documents; the others go by their hash.
+frequent shingles; the others go by their hash. All documents are counted, in stretches of four million
+words; copies in one stretch count once, and a shingle that a stretch holds once only adds nothing.
 
 Shingles are ``size`` consecutive words, A-Z lower-cased, words split at ASCII blanks; a text with
 fewer words is one shingle; null and blank texts have none and link with nothing, not even with
@@ -65,7 +66,7 @@ def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 def _counts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Shingles found in several documents of a stretch of a partition, with their numbers."""
+    """Shingles found in several different sets of a stretch of a partition, with their numbers."""
     def flush(sets: list[np.ndarray]) -> pa.RecordBatch:
         found, n = np.unique(np.concatenate(sets), return_counts=True)
         many = n > 1
@@ -73,16 +74,18 @@ def _counts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
             [pa.array(found[many].view(np.int64)), pa.array(n[many].astype(np.int64))], names=["token", "n"]
         )
 
-    sets, held = [], 0
+    sets, held = {}, 0
     for batch in batches:
         for _, _, words in hashed(as_bytes(batch["text"]), SPACED):
-            sets.append(shingle_set(words, size))
+            found = shingle_set(words, size)
+            # Copies are one set, as they are one class.
+            sets[xxhash.xxh3_128_digest(found.tobytes())] = found
             held += len(words)
             if held > 4_000_000:
-                yield flush(sets)
-                sets, held = [], 0
+                yield flush(list(sets.values()))
+                sets, held = {}, 0
     if sets:
-        yield flush(sets)
+        yield flush(list(sets.values()))
 
 
 def frequent_shingles(docs: DataFrame, size: int) -> np.ndarray:
@@ -91,12 +94,17 @@ def frequent_shingles(docs: DataFrame, size: int) -> np.ndarray:
     total = stored(counted.groupBy("token").agg(F.sum("n").alias("n")), "shingle_counts")
     # How many shingles there are of each order of magnitude says which counts can be taken.
     grade = F.floor(F.log2("n") * 8)
-    room, least = ORDERED, None
+    room, most, part = ORDERED, None, None
     for g, n in sorted(map(tuple, total.groupBy(grade).count().collect()), reverse=True):
         if n > room:
+            part = g
             break
-        room, least = room - n, g
-    top = total.where(grade >= least if least is not None else F.lit(False)).toPandas()
+        room, most = room - n, g
+    top = total.where(grade >= most if most is not None else F.lit(False))
+    if part is not None and room:
+        # What room is left goes to the most frequent of the next order of magnitude.
+        top = top.union(total.where(grade == part).orderBy(F.desc("n"), "token").limit(room))
+    top = top.toPandas()
     token = top["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(token)
     return np.stack([token[order], top["n"].to_numpy(np.uint64)[order]])
@@ -324,8 +332,10 @@ def _link_counts(named: DataFrame, plain: DataFrame, size: int, percent: int) ->
 def near_duplicates(
     docs: DataFrame, percent: int = 80, size: int = 5, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
-    """(doc_id, h1, h2, uid, n_shingles, class_id, component_id, component, n_links): one row per document.
-    ``component`` names a component even if no member has an id; rows without words have none. ``n_links`` is the number of other classes that its class is linked with."""
+    """(doc_id, h1, h2, uid, n_shingles, class_id, class_doc_id, component_id, component, n_links): one row
+    per document. Documents with equal shingle sets are one class, ``class_doc_id`` its smallest id.
+    ``component`` names a component even if no member has an id; rows without words have none. ``n_links``
+    is the number of other classes that its class is linked with."""
     found, named, plain = _in_components(docs, percent, size, text, key)
     links = stored(_link_counts(named, plain, size, percent), "class_links").withColumnRenamed("cid", "class_id")
     return found.join(links, "class_id", "left").select(*found.columns, F.coalesce("n_links", F.lit(0)).alias("n_links"))
@@ -367,7 +377,8 @@ def _in_components(docs: DataFrame, percent: int, size: int, text: str, key: str
     )
     led = stored(_possible(led, sketches, percent), "leader_pairs")
     first = stored(_verified(led, sketches, plain, size, percent), "leader_links")
-    joined = first.groupBy(F.col("b").alias("cid")).agg(F.least(F.min("a"), F.col("cid")).alias("label"))
+    # Classes that hang together through any leaders are not compared again.
+    joined = stored(connected(first), "leader_components").select(F.col("node").alias("cid"), F.col("component").alias("label"))
     rest = stored(_possible(_open_pairs(shared, joined, percent), sketches, percent), "open_pairs")
     second = _verified(rest, sketches, plain, size, percent)
     component = connected(first.union(second))
@@ -378,10 +389,13 @@ def _in_components(docs: DataFrame, percent: int, size: int, text: str, key: str
         "components",
     )
     names = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    of_class = named.join(names, "component").select("s1", "s2", F.col("cid").alias("class_id"), "component", "component_id")
+    of_class = named.join(names, "component").select(
+        "s1", "s2", F.col("cid").alias("class_id"), F.col("least_id").alias("class_doc_id"), "component", "component_id"
+    )
     found = rows.select("doc_id", "h1", "h2", "uid", "n", "s1", "s2").join(of_class, ["s1", "s2"], "left")
     found = found.select(
         "doc_id", "h1", "h2", "uid", F.col("n").cast("long").alias("n_shingles"), "class_id",
+        F.when(F.col("n") > 0, F.col("class_doc_id")).otherwise(F.col("doc_id")).alias("class_doc_id"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         "component",
     )

@@ -28,9 +28,14 @@ s AS (SELECT DISTINCT r, array_to_string(w[k + 1:k + 5], ' ') AS g FROM (SELECT
 n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
 links AS (SELECT x.r AS a, y.r AS b FROM s x JOIN s y ON x.g = y.g AND x.r <> y.r
  JOIN n p ON p.r = x.r JOIN n q ON q.r = y.r GROUP BY x.r, y.r, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))),
-reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
-SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(o.doc_id) AS component_id
-FROM d LEFT JOIN n USING (r) JOIN reach ON reach.a = d.r JOIN d o ON o.r = reach.b GROUP BY d.r, d.doc_id"""
+reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+keyed AS (SELECT r, sha256(string_agg(g, chr(10) ORDER BY g)) AS v FROM s GROUP BY r),
+classes AS (SELECT v, min(doc_id) AS class_id FROM keyed JOIN d USING (r) GROUP BY v),
+others AS (SELECT x.v, count(DISTINCT y.v) AS n_links FROM links JOIN keyed x ON x.r = a JOIN keyed y ON y.r = b WHERE x.v <> y.v GROUP BY x.v),
+found AS (SELECT d.r, d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(o.doc_id) AS component_id
+ FROM d LEFT JOIN n USING (r) JOIN reach ON reach.a = d.r JOIN d o ON o.r = reach.b GROUP BY d.r, d.doc_id)
+SELECT doc_id, n_shingles, component_id, CASE WHEN v IS NULL THEN doc_id ELSE class_id END AS class_id, coalesce(n_links, 0) AS n_links
+FROM found LEFT JOIN keyed USING (r) LEFT JOIN classes USING (v) LEFT JOIN others USING (v)"""
 
 SHARDING = """
 WITH crc AS (SELECT list(list_reduce(range(9), lambda c, i: CASE WHEN i = 0 THEN c WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t

@@ -15,7 +15,8 @@ sample only; scoring covers every text.
 
 Null text is empty and is scored like any other. A text rated several times has its lowest grade; a
 null grade or id is no rating; of several texts with one id, the smallest is fitted. Without rated
-texts of at least two grades there is no model: fit() returns None, and keep_good() keeps all.
+texts of at least two grades there is no model: fit() returns None, score() gives NULL for every
+text, and keep_good() keeps all.
 """
 
 from __future__ import annotations
@@ -221,9 +222,12 @@ def fit(docs: DataFrame, ratings: DataFrame, **options) -> Model | None:
     return fit_arrays(slots.flatten().to_numpy(), lengths, grades, weight, max(counts) + 1)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """(row, expected_grade, p_top): each document as struct ``row``, its expected grade and the
-    probability of the highest grade."""
+    probability of the highest grade; both NULL without a model."""
+    if model is None:
+        none = F.lit(None).cast("double")
+        return docs.select(F.struct("*").alias("row"), none.alias("expected_grade"), none.alias("p_top"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = T.StructType([T.StructField("expected", T.DoubleType()), T.StructField("top", T.DoubleType())])
 

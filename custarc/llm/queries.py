@@ -28,12 +28,13 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = quality.fit(docs, quality.grades_of_labels(table(spark, folder, "labels")))
     scored = quality.score(docs, model)
-    return scored.select(c("row.doc_id").alias("doc_id"), "expected_grade", "p_top", (c("p_top") >= 0.5).alias("selected"))
+    return scored.select(c("row.doc_id").alias("doc_id"), "expected_grade", "p_top", F.coalesce(c("p_top") >= 0.5, F.lit(True)).alias("selected"))
 
 
 def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return jaccard.near_duplicates(docs, percent=80, size=5).select("doc_id", "n_shingles", "component_id")
+    found = jaccard.near_duplicates(docs, percent=80, size=5)
+    return found.select("doc_id", "n_shingles", "component_id", c("class_doc_id").alias("class_id"), "n_links")
 
 
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:

@@ -48,6 +48,28 @@ def test_links_between_different_texts(documents, prose, monkeypatch, tile, room
         [(i, len(s), links.get(s, 0)) for i, s in ((i, shingles(t)) for i, t in rows)], key=key
     )
     assert max(links.values()) > 20
+    least = {}
+    for i, t in rows:
+        if (s := shingles(t)) and i is not None:
+            least[s] = min(i, least.get(s, i))
+    assert all(x.class_doc_id == (least[s] if (s := shingles(t)) else i) for x, (i, t) in zip(
+        sorted(found, key=lambda x: str(x.doc_id)), sorted(rows, key=lambda x: str(x[0]))) if i not in (7, None))
+
+
+def test_copies_of_a_long_text_leave_room_for_frequent_shingles(documents, prose, monkeypatch):
+    """More shingles than can be ranked, all equally frequent through copies: the rest of the room goes
+    to part of them, and shingles of many different texts come first."""
+    monkeypatch.setattr(jaccard, "ORDERED", 200)
+    long, passage = prose("long", 3000), prose("passage", 30)
+    rows = [(k, long) for k in range(200)] + [(1000 + k, prose(k, 20) + " " + passage) for k in range(90)]
+    docs = documents(rows)
+    ranked = jaccard.frequent_shingles(docs.coalesce(1), 5)
+    assert 26 <= ranked.shape[1] < 40  # those of the passage; the copies are one set
+    ranked = jaccard.frequent_shingles(docs.repartition(40), 5)
+    assert 26 <= ranked.shape[1] <= 200
+    found = near_duplicates(docs).collect()
+    key = lambda r: tuple(map(str, r))
+    assert sorted([(x.doc_id, x.n_shingles, x.component_id) for x in found], key=key) == sorted(plain(rows), key=key)
 
 
 def test_one_of_each_group_stays(documents, prose):

@@ -56,6 +56,51 @@ def test_no_model_keeps_all(spark, documents):
     for labels in ([], [(1, 1, 0)], [(7, 0, 0), (8, 1, 0)]):
         ratings = grades_of_labels(spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
         assert keep_good(docs, ratings).count() == 2
+        assert [(r.expected_grade, r.p_top) for r in score(docs, quality.fit(docs, ratings)).collect()] == [(None, None)] * 2
+
+
+def test_query_without_labels(spark, tmp_path):
+    """Nothing is known, so nothing is judged and everything stays selected."""
+    from custarc.llm.queries import op3_quality_classifier
+
+    spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = op3_quality_classifier(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.expected_grade, r.p_top, r.selected) for r in rows} == {(1, None, None, True), (2, None, None, True)}
+
+
+def test_gradient_against_finite_differences():
+    """The fitted model is where the penalised likelihood, written plainly, is flat in every threshold
+    and in the weights that occur most."""
+    r = np.random.default_rng(2)
+    grades = np.repeat([0, 1, 2], 60)
+    own = [np.concatenate([[1, 2, 3, 4], r.integers(10 + 4 * g, 24 + 4 * g, 16)]) for g in grades]
+    lengths = np.array([len(x) for x in own])
+    model = fit_arrays(np.concatenate(own).astype(np.int32), lengths, grades, np.ones(180), 3)
+    value = np.concatenate([np.full(4, quality.WHOLE), np.full(16, 1 / np.sqrt(4))])
+
+    def loss(w, theta):
+        total = quality.PENALTY / 2 * (w**2).sum()
+        for x, g in zip(own, grades):
+            s = (w[x] * value).sum()
+            reach = [1.0, *(1 / (1 + np.exp(t - s)) for t in theta), 0.0]
+            total -= np.log(reach[g] - reach[g + 1]) / 180
+        return total
+
+    w, theta = model.weights.astype(float), model.thresholds
+    assert theta[0] < theta[1]
+
+    def slope(at, k, h=1e-4):
+        low, high = at.copy(), at.copy()
+        low[k] -= h
+        high[k] += h
+        return (loss(w, high) - loss(w, low)) / (2 * h) if at is theta else (loss(high, theta) - loss(low, theta)) / (2 * h)
+
+    assert max(abs(slope(theta, k)) for k in range(2)) < 0.01
+    common = np.argsort(-np.bincount(np.concatenate(own), minlength=40))[:12]
+    assert max(abs(slope(w, k)) for k in common) < 0.01
+    start = loss(np.zeros_like(w), np.array([-0.69, 0.69]))
+    assert loss(w, theta) < 0.7 * start
 
 
 def test_odd_texts_are_scored(spark, documents):
