@@ -196,7 +196,8 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def _stacked(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), dtype=np.float64)
+    """A column of vectors of one length as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
 def nearest(
