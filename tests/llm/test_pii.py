@@ -4,7 +4,7 @@ import pytest
 from brute import base_spans
 from pyspark.sql import functions as F
 
-from custarc.llm.pii import BASE, find_spans, luhn, mod97, redact
+from custarc.llm.pii import BASE, blocks_of, find_spans, luhn, mod97, redact, taken
 
 TEXTS = [
     "", None, "mail a.b@c.de, x@y, a@b..c and a@b.c.d. a@b.com_x@y.org", "a@b.c@d.e _.%+-@a-b.c-d", "1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.255 1.2.3",
@@ -55,5 +55,19 @@ def test_redaction(spark, documents):
     assert texts == {1: "x [EMAIL] y [IP]", 2: None, 3: "[CARD] +[CARD]", 4: "clean"}
 
 
+def test_blocks(spark):
+    """What is taken from blocks is what stands in the text, also across blocks and past the end."""
+    text = "".join(chr(97 + k % 26) for k in range(40_000)) + "é😀" * 300
+    df = spark.createDataFrame([(text, a, n) for a in (0, 1, 511, 512, 16_383, 16_384, 39_999, 40_500) for n in (0, 1, 2, 600, 40_000)], "t string, a int, n int")
+    for r in df.select("a", "n", taken(blocks_of(F.col("t")), F.col("a"), F.col("n")).alias("x")).collect():
+        assert r.x == text[r.a : r.a + r.n]
+    assert spark.range(1).select(taken(blocks_of(F.lit("")), F.lit(0), F.lit(5))).first()[0] == ""
+
+
+def test_redaction_of_many_spans(documents):
+    text = "😀 ".join(f"u{k}@mail.com" for k in range(3000))
+    assert redact(documents([(1, text)])).first().text == "😀 ".join(["[EMAIL]"] * 3000)
+
+
 def test_empty_table(documents):
     assert find_spans(documents([])).collect() == []
