@@ -23,6 +23,7 @@ from bisect import bisect_left, insort
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from custarc.llm.common import row_hashes, stored
@@ -96,8 +97,63 @@ def _pack(table: pa.Table, costs: dict[int, float]) -> pa.Table:
     )
 
 
+_WORD = r"[^\x20\x09-\x0D]++"
+
+
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]++")), F.lit(0))
+    return F.coalesce(F.regexp_count(text, F.lit(_WORD)), F.lit(0))
+
+
+def sequences(docs: DataFrame, packed: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(bin_id, capacity, n_tokens, words, bounds): the training sequences that ``pack`` planned for the
+    words of ``docs``. ``words`` holds the words of a sequence in order, at most ``capacity`` of them;
+    ``bounds`` its pieces in order as (at, doc_id, start), ``at`` being their first place, so that attention
+    can be kept inside a document.
+
+    Pieces of one document id, number and length take each other's places. Lengths other than numbers
+    of words can't be used.
+    """
+    words = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(_WORD), F.lit(0))
+    most = F.lit(int(packed.agg(F.max("n_tokens")).first()[0] or 1))
+    texts = docs.select(F.col(key).alias("doc_id"), words.alias("w")).where(F.size("w") > 0)
+    starts = F.sequence(F.lit(0), F.size("w") - 1, most)
+    cut = texts.select("doc_id", "w", F.posexplode(starts).alias("piece", "from")).select(
+        "doc_id", F.col("piece").cast("long").alias("piece"), F.slice("w", F.col("from") + 1, most).alias("words")
+    )
+    one = ["doc_id", "piece", "n_tokens"]
+    # Equal pieces are counted first; a window then sees the different ones of a key only.
+    parts = cut.withColumn("n_tokens", F.size("words").cast("long")).groupBy(*one, "words").agg(F.count("*").alias("n"))
+    before = W.partitionBy(*one).orderBy(F.xxhash64("words"), "words").rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    parts = parts.withColumn("copy", F.explode(F.sequence(F.col("before") + 1, F.col("before") + F.col("n"))))
+    # Places are numbered inside their packing group, and the groups of a key one after the other.
+    places = packed.where("n_tokens > 0").withColumn("group", F.shiftright("bin_id", 32))
+    counts = places.groupBy(*one, "group").agg(F.count("*").alias("n"))
+    of_key = W.partitionBy(*one).orderBy("group").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select(
+        *[F.col(x).alias(f"o_{x}") for x in (*one, "group")], F.coalesce(F.sum("n").over(of_key), F.lit(0)).alias("offset")
+    )
+    same = F.lit(True)
+    for x in (*one, "group"):
+        same = same & F.col(x).eqNullSafe(F.col(f"o_{x}"))
+    inside = F.row_number().over(W.partitionBy(*one, "group").orderBy("bin_id", "at"))
+    numbered = places.withColumn("number", inside).join(offsets, same).select(
+        *[F.col(x).alias(f"p_{x}") for x in one], (F.col("offset") + F.col("number")).alias("p_copy"), "bin_id", "capacity", "at", "start"
+    )
+    on = F.col("copy") == F.col("p_copy")
+    for x in one:
+        on = on & F.col(x).eqNullSafe(F.col(f"p_{x}"))
+    # A sequence holds at most its capacity, so its pieces are few.
+    whole = parts.join(numbered, on).groupBy("bin_id", "capacity").agg(
+        F.sort_array(F.collect_list(F.struct("at", "doc_id", "start", "words"))).alias("pieces")
+    )
+    return whole.select(
+        "bin_id",
+        "capacity",
+        F.aggregate("pieces", F.lit(0), lambda n, p: n + F.size(p.words)).alias("n_tokens"),
+        F.flatten(F.transform("pieces", lambda p: p.words)).alias("words"),
+        F.transform("pieces", lambda p: F.struct(p["at"].alias("at"), p["doc_id"].alias("doc_id"), p["start"].alias("start"))).alias("bounds"),
+    )
 
 
 def pack(
