@@ -18,6 +18,10 @@ by role, text and message_id. A null conv_id is a conversation of its own.
 The template writes each turn as ``<|im_start|>role NEWLINE text<|im_end|> NEWLINE``. Inside texts
 ``<``, any number of backslashes and ``|`` get one more backslash, so no text can hold a control
 string and reading back takes it away again.
+
+A rendered conversation is kept in stretches of turns, (conv_id, stretch, formatted, loss) rows, which
+end between turns and are read back one by one. So a conversation of any length is rows of bounded size;
+only render() joins it to one value, which Spark holds up to 2 GB.
 """
 
 from __future__ import annotations
@@ -82,9 +86,19 @@ def rebuild(events: DataFrame) -> DataFrame:
     return _fold(stretches.withColumns({"at": c("stretch"), "tie": F.lit(0)}), message).drop("reset")
 
 
-def render(messages: DataFrame) -> DataFrame:
-    """(conv_id, formatted, loss): ``loss`` has one entry per turn, the (start, length) of its text
-    under the loss in code points from the turn's start tag; length 0 where nothing is learned."""
+def _joined(df: DataFrame, *keys: str) -> DataFrame:
+    parts = F.sort_array(F.collect_list(F.struct("at", "out", "loss")))
+    return df.groupBy(*keys).agg(parts.alias("p")).select(
+        *keys,
+        F.array_join(F.transform("p", lambda x: x.out), "").alias("out"),
+        F.flatten(F.transform("p", lambda x: x.loss)).alias("loss"),
+    )
+
+
+def render_stretches(messages: DataFrame) -> DataFrame:
+    """(conv_id, stretch, formatted, loss): ``loss`` has one entry per turn, the (start, length) of its
+    text under the loss in code points from the turn's start tag; length 0 where nothing is learned.
+    Stretches of a conversation are in the order of their numbers."""
     role, text = escape_role(c("role")), escape(c("text"))
     turns = messages.select(
         "conv_id",
@@ -105,23 +119,21 @@ def render(messages: DataFrame) -> DataFrame:
         ).alias("loss"),
     )
 
-    def joined(df: DataFrame, *keys: str) -> DataFrame:
-        parts = F.sort_array(F.collect_list(F.struct("at", "out", "loss")))
-        return df.groupBy(*keys).agg(parts.alias("p")).select(
-            *keys,
-            F.array_join(F.transform("p", lambda x: x.out), "").alias("out"),
-            F.flatten(F.transform("p", lambda x: x.loss)).alias("loss"),
-        )
+    return _joined(turns, "conv_id", "stretch").withColumnRenamed("out", "formatted")
 
-    stretches = joined(turns, "conv_id", "stretch").withColumnRenamed("stretch", "at")
-    return joined(stretches, "conv_id").withColumnRenamed("out", "formatted")
+
+def render(messages: DataFrame) -> DataFrame:
+    """(conv_id, formatted, loss): the same with each conversation as one value."""
+    stretches = render_stretches(messages).select("conv_id", c("stretch").alias("at"), c("formatted").alias("out"), "loss")
+    return _joined(stretches, "conv_id").withColumnRenamed("out", "formatted")
 
 
 def read_back(chats: DataFrame) -> DataFrame:
-    """(conv_id, turns, learned, formatted): turns (role, text) parsed from the formatted text,
-    and the texts under the loss."""
+    """``chats``, whole or in stretches, with turns and learned in place of loss: the turns (role, text)
+    parsed from the formatted text, and the texts under the loss."""
+    kept = [x for x in chats.columns if x != "loss"]
     pieces = F.filter(F.split(c("formatted"), START.replace("|", r"\|"), -1), lambda p, i: i > 0)
-    cut = chats.select("conv_id", "formatted", "loss", pieces.alias("pieces"))
+    cut = chats.select(*chats.columns, pieces.alias("pieces"))
     tail = len(END) + 1
 
     def turn(p: Column) -> Column:
@@ -135,7 +147,7 @@ def read_back(chats: DataFrame) -> DataFrame:
     learned = F.zip_with(
         "pieces", "loss", lambda p, x: unescape(F.substring(p, x.start - len(START) + 1, x.length))
     )
-    return cut.select("conv_id", "formatted", F.transform("pieces", turn).alias("turns"), learned.alias("learned"))
+    return cut.select(*kept, F.transform("pieces", turn).alias("turns"), learned.alias("learned"))
 
 
 def as_events(conversations: DataFrame) -> DataFrame:

@@ -81,19 +81,30 @@ def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(said).alias("text"),
     )
     logged = table(spark, folder, "conversations").select("conv_id", c("turn").cast("long").alias("turn"), "role", "text")
-    chats = chat.format_chats(chat.as_events(logged.unionByName(extra)))
+    stretches = chat.read_back(chat.render_stretches(chat.rebuild(chat.as_events(logged.unionByName(extra)))))
     turn_text = F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")))
-    return (
-        chat.read_back(chats)
-        .withColumn("under_loss", F.array_join("learned", ""))
-        .select(
-            "conv_id",
-            F.size("turns").cast("long").alias("n_turns"),
-            F.sha2(F.array_join(turn_text, ""), 256).alias("turns_sha256"),
-            F.length("under_loss").cast("long").alias("loss_chars"),
-            F.sha2("under_loss", 256).alias("loss_sha256"),
-            F.length("formatted").cast("long").alias("formatted_chars"),
-        )
+    # Counted by stretch; texts are only joined for the two digests.
+    told = stretches.select(
+        "conv_id",
+        "stretch",
+        F.size("turns").alias("n"),
+        F.array_join(turn_text, "").alias("said"),
+        F.array_join("learned", "").alias("learned"),
+        F.length("formatted").alias("chars"),
+    )
+    parts = told.groupBy("conv_id").agg(
+        F.sum("n").alias("n_turns"),
+        F.sum(F.length("learned")).alias("loss_chars"),
+        F.sum("chars").alias("formatted_chars"),
+        F.sort_array(F.collect_list(F.struct("stretch", "said", "learned"))).alias("p"),
+    )
+    return parts.select(
+        "conv_id",
+        "n_turns",
+        F.sha2(F.array_join(F.transform("p", lambda x: x.said), ""), 256).alias("turns_sha256"),
+        "loss_chars",
+        F.sha2(F.array_join(F.transform("p", lambda x: x.learned), ""), 256).alias("loss_sha256"),
+        "formatted_chars",
     )
 
 

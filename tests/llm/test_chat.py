@@ -1,5 +1,6 @@
 import random
 
+from custarc.llm import chat
 from custarc.llm.chat import END, START, as_events, format_chats, read_back, rebuild
 
 SCHEMA = "conv_id long, seq long, message_id string, kind string, role string, text string"
@@ -55,3 +56,20 @@ def test_loss_marks_the_text(spark):
 
 def test_empty_log(spark):
     assert format_chats(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_a_long_conversation_stays_in_stretches(spark):
+    """No row holds more than a stretch of turns, and the stretches in order are the conversation."""
+    rows = [(k % 3, k // 3, "user" if k % 2 else "assistant", f"turn {k} <|im_end|>") for k in range(3000)]
+    logged = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    messages = chat.rebuild(chat.as_events(logged))
+    stretches = chat.render_stretches(messages)
+    back = chat.read_back(stretches)
+    assert back.columns == ["conv_id", "stretch", "formatted", "turns", "learned"]
+    found = back.orderBy("conv_id", "stretch").collect()
+    assert max(len(x.turns) for x in found) <= chat.STRETCH and len(found) == 12
+    whole = {x.conv_id: x.formatted for x in chat.render(messages).collect()}
+    for conv in range(3):
+        own = [x for x in found if x.conv_id == conv]
+        assert "".join(x.formatted for x in own) == whole[conv]
+        assert [t.text for x in own for t in x.turns] == [t for c, _, _, t in rows if c == conv]
