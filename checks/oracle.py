@@ -98,7 +98,7 @@ STAGED_TXN = """SELECT transaction_id, customer_id, {mail} AS cust_email, {kind}
 def latest(field: str) -> str:
     """A person's latest known value."""
     known = f"FILTER (WHERE {field} NOT IN ('', 'Others'))"
-    return f"coalesce(arg_max({field}, {{'c': created_at, 'u': user_id, 'f': {field}}}) {known}, max({field})) AS {field}"
+    return f"coalesce(arg_max({field}, {{'c': coalesce(created_at, TIMESTAMP '0001-01-01'), 'u': coalesce(user_id, ''), 'f': {field}}}) {known}, max({field})) AS {field}"
 
 
 def staged_txn(*words: str) -> str:
@@ -213,11 +213,11 @@ CTES |= {
     "per_reach": """SELECT a AS node, a AS other FROM per_links UNION SELECT per_reach.node, b FROM per_reach JOIN per_links ON a = other""",
     "per_rows": """SELECT u.*, coalesce(root, node) AS person FROM (SELECT *, coalesce('id:' || user_id, 'email:' || email) AS node FROM stg_user) u
  LEFT JOIN (SELECT node, min(other) AS root FROM per_reach GROUP BY node) USING (node)""",
-    "per_user": f"""SELECT person, arg_min(user_id, {{'c': created_at, 'u': user_id}}) AS user_id,
+    "per_user": f"""SELECT person, arg_min(user_id, {{'c': coalesce(created_at, TIMESTAMP '9999-12-31'), 'u': user_id}}) AS user_id,
  {", ".join(latest(f) for f in ("email", "first_name", "last_name", "gender", "country", "lead_source", "phone"))},
  min(signup_date) AS signup_date, min(created_at) AS created_at FROM per_rows GROUP BY person""",
-    "per_mail": f"""SELECT DISTINCT r.email, p.user_id, {key("p.user_id")} AS user_sk FROM per_rows r JOIN per_user p USING (person) WHERE r.email IS NOT NULL""",
-    "per_id": f"""SELECT DISTINCT r.user_id, p.email, {key("p.user_id")} AS user_sk FROM per_rows r JOIN per_user p USING (person)
+    "per_mail": f"""SELECT DISTINCT r.email, p.user_id, {key("coalesce(p.user_id, p.email)")} AS user_sk FROM per_rows r JOIN per_user p USING (person) WHERE r.email IS NOT NULL""",
+    "per_id": f"""SELECT DISTINCT r.user_id, p.email, {key("coalesce(p.user_id, p.email)")} AS user_sk FROM per_rows r JOIN per_user p USING (person)
  WHERE r.user_id IS NOT NULL""",
     "first_event": """SELECT user_sk, min(event_timestamp) FILTER (WHERE feature_name LIKE 'Feature%') AS first_event_ts
  FROM fact_product_usage WHERE user_sk IS NOT NULL GROUP BY user_sk""",
@@ -488,7 +488,7 @@ AS_OF = CTES["fact_transaction_as_of"]
 INSTEAD = {"mart_revenue_as_of": {"fact_transaction": AS_OF}}
 PEOPLE = {name: re.sub(r"\bdim_user\b", "per_mail", CTES[name]) for name in ("dim_subscription", "fact_transaction", "fact_support", "fact_product_usage")}
 PEOPLE["int_product_usage"] = CTES["int_product_usage"].replace("stg_user e", "per_mail e").replace("stg_user i", "per_id i")
-PEOPLE["dim_user"] = CTES["dim_user"].replace("FROM stg_user", "FROM per_user")
+PEOPLE["dim_user"] = CTES["dim_user"].replace("FROM stg_user", "FROM per_user").replace(key("user_id"), key("coalesce(user_id, email)"))
 for name in ("dim_user", "int_product_usage", "fact_support", "fact_transaction", "fact_product_usage", "mart_engagement"):
     FINALS[f"{name}_one_per_email"] = f"SELECT * FROM {name}"
     INSTEAD[f"{name}_one_per_email"] = PEOPLE

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -156,6 +157,14 @@ VIEWS = (
     "stg_user", "stg_subscription", "stg_transaction", "stg_support_ticket",
     "stg_product_usage", "int_product_usage", "int_subscription",
 )
+# Each phase needs the ones before it; the models of a phase don't need each other.
+PHASES = (
+    ("dim_date", "dim_user"),
+    ("user_keys",),
+    ("dim_subscription", "fact_support", "fact_product_usage_weighted"),
+    ("fact_transaction", "fact_product_usage", "mart_acquisition", "mart_engagement", "mart_support"),
+    ("mart_retention", "mart_revenue"),
+)
 TABLES = (
     "dim_date", "dim_user", "dim_subscription", "fact_transaction", "fact_support",
     "fact_product_usage", "mart_acquisition", "mart_engagement", "mart_support",
@@ -184,7 +193,8 @@ def build(
     """Register the views, replace every table under ``location`` and return the tables.
 
     Each table is computed from the stored ones before it, so losing executors never costs
-    more than the table being written, and a table that can't be written stays as it was. ``counts``
+    more than the tables being written, and a table that can't be written stays as it was. Tables that
+    don't need each other are written by concurrent jobs, so one's last tasks leave no cores idle. ``counts``
     receives the rows of every source and table, which are counted on the way.
     """
     scratch = scratch_folder(spark)
@@ -204,6 +214,9 @@ def build(
     for name in VIEWS:
         register_view(getattr(models, name), name)
     try:
+        for phase in PHASES:
+            with ThreadPoolExecutor(len(phase)) as pool:
+                list(pool.map(lambda name: getattr(models, name), phase))
         tables = {name: getattr(models, name) for name in TABLES}
     finally:
         drop_folder(spark, scratch)

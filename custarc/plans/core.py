@@ -195,7 +195,8 @@ def fact_product_usage_weighted(
     usage: DataFrame, users: DataFrame, s: Settings = Settings(), emails: DataFrame | None = None
 ) -> DataFrame:
     """Usage events straight from stg_product_usage and dim_user, repairing identities on the
-    way with two shuffles of the events. Equal rows are one row with their number in ``copies``."""
+    way with two shuffles of the events. Equal rows of one event and one row of dim_user are one row
+    with their number in ``copies``."""
     return _usage_fact(weighted_usage(usage, users, emails), s, "copies")
 
 
