@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custarc.functions.temporal import month_start
+from custarc.operators.expansion import distinct_by_month
 from custarc.operators.spine import full_date
 from custarc.plans.marts import known_users
 from custarc.settings import Settings
@@ -106,13 +107,8 @@ def kpi_revenue(mart: DataFrame, months: DataFrame) -> DataFrame:
         - F.col("cancellation_mrr")
     )
     failed = F.sum("failed_count")
-    paying = (
-        months.where("status = 'Succeeded' AND user_sk IS NOT NULL")
-        .select(F.month("transaction_date").cast("long").alias("_m"), "user_sk")
-        .distinct()
-        .groupBy("_m")
-        .agg(F.count("*").alias("_paying"))
-    )
+    succeeded = months.where("status = 'Succeeded'")
+    paying = distinct_by_month(succeeded, "user_sk", "transaction_date", [], "_m", "_paying")
     figures = mart.groupBy("transaction_month").agg(
         mrr.alias("_mrr"),
         _ratio(F.sum("refund_count"), F.sum("transaction_count")).alias("refund_rate"),
