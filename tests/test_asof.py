@@ -114,3 +114,20 @@ def test_switches_are_checked():
     for name in ("mrr_mode", "subscription_match", "cohort", "users"):
         with pytest.raises(ValueError, match=name):
             Settings(**{name: "other"})
+
+
+def test_moments_are_shuffled_by_period_once(spark):
+    """The window and the carried values read one shuffle."""
+    left = spark.range(200).selectExpr("id", "concat('k', id % 7) AS k", "date_add(DATE '2024-01-01', cast(id % 90 AS int)) AS d")
+    right = spark.range(50).selectExpr("concat('k', id % 7) AS rk", "date_add(DATE '2024-01-01', cast(id % 60 AS int)) AS s", "id AS v")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = as_of(left, right, ("k", "rk"), ("d", "s"), ["v"], ["id"])
+        assert out.count() == 200
+        out.collect()
+        text = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    by_period = [line for line in text.splitlines() if "REPARTITION_BY_COL" in line]
+    assert len(by_period) == 2 and sum("ReusedExchange" in line for line in by_period) == 1
