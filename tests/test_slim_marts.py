@@ -1,6 +1,7 @@
 """What the retention and revenue queries store and shuffle, on small tables."""
 
 import random
+import re
 from collections import Counter
 from datetime import datetime
 
@@ -8,7 +9,7 @@ import pytest
 
 from checks.queries import STORED, VERSION, SETTINGS, models
 from custarc.operators.expansion import each_month
-from custarc.plans import retention
+from custarc.plans import retention, revenue
 
 SF = "/root/testdata/sf0.001"
 VERSION_ROW = (
@@ -56,6 +57,33 @@ def crossed(start, end):
     return (end.year - start.year) * 12 + end.month - start.month
 
 
+def test_payment_months_against_rows_written_out(rows, frames):
+    versions, payments = rows
+    of_key = {}
+    for v in versions:
+        of_key.setdefault(v[0], []).append(v)
+    days = [p[9] and datetime.strptime(str(p[9]), "%Y%m%d") for p in payments]
+    reached = {}
+    for p, at in zip(payments, days):
+        for v in of_key.get(p[1], []):
+            if at and v[4] == "Annual" and v[8] is None:
+                for m in range(min(SETTINGS.max_months, crossed(at, SETTINGS.horizon))):
+                    reached.setdefault(p[0], Counter())[m] += 1
+    expected = Counter()
+    for p, at in zip(payments, days):
+        for v in of_key.get(p[1], [None]):
+            canceled = v and v[8]
+            months = {0: 1} if canceled else reached.get(p[0], {0: 1})
+            for m, n in months.items():
+                kind = "subscription_cancellation" if canceled else "subscription_payment_renewal" if m else p[3]
+                expected[(p[0], v and v[1], later(canceled or at, m), kind)] += n
+    subs, txns = frames
+    found = Counter()
+    for r in revenue.transaction_months(txns, subs, SETTINGS).collect():
+        found[(r.transaction_id, r.subscription_id, r.transaction_date, r.transaction_type)] += r.weight
+    assert found == expected
+
+
 def test_subscription_versions_against_rows_written_out(rows, frames):
     versions, payments = rows
     paid = {}
@@ -80,6 +108,30 @@ def test_subscription_versions_against_rows_written_out(rows, frames):
     assert found == expected
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_payments_without_a_version_are_not_shuffled_for_it(no_broadcast, frames):
+    lines = plan(revenue.transaction_spans(frames[1], frames[0], SETTINGS)).splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    union = next(i for i, line in enumerate(lines) if re.search(r"\bUnion", line))
+    level = depth(lines[union + 1])
+    last = next(i for i in range(union + 1, len(lines)) if depth(lines[i]) == level and "+-" in lines[i])
+    end = next((i for i in range(last + 1, len(lines)) if depth(lines[i]) <= level), len(lines))
+    below = lines[last:end]
+    assert "isnull(subscription_sk" in " ".join(below) and "Exchange" not in " ".join(below)
+
+
 @pytest.mark.parametrize("name", ["mart_retention", "mart_revenue"])
 def test_queries_store_only_what_they_read(spark, name):
     m = models(spark, SF, STORED[name])
