@@ -50,6 +50,7 @@ from custarc.llm.components import connected
 from custarc.llm.words import SPACED, as_bytes, hashed, lists, ngrams, small_batches
 
 ORDERED = 1 << 17
+STRETCH = 4_000_000  # words whose shingles are counted at a time
 GRADE = 1 << 55  # above any value of monotonically_increasing_id in 4 million partitions
 BAND = 1.05  # sizes in one band differ by less than this factor
 PERCENT = 100
@@ -65,27 +66,39 @@ def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
     return np.unique(ngrams(hashes, min(size, len(hashes)))) if len(hashes) else hashes
 
 
+def _repeated(sets: list[np.ndarray]) -> pa.RecordBatch:
+    """Shingles found in several of the sets, with their numbers. The sets are emptied, and their shingles
+    sorted in place, as they are most of what a worker holds."""
+    found = np.concatenate(sets)
+    sets.clear()
+    found.sort()
+    same = found[1:] == found[:-1]
+    # A shingle begins where it differs from the one before and equals the one behind.
+    begins = np.flatnonzero(same & ~np.concatenate([[False], same[:-1]]))
+    ends = np.flatnonzero(same & ~np.concatenate([same[1:], [False]])) + 2
+    return pa.RecordBatch.from_arrays(
+        [pa.array(found[begins].view(np.int64)), pa.array((ends - begins).astype(np.int64))], names=["token", "n"]
+    )
+
+
 def _counts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Shingles found in several different sets of a stretch of a partition, with their numbers."""
-    def flush(sets: list[np.ndarray]) -> pa.RecordBatch:
-        found, n = np.unique(np.concatenate(sets), return_counts=True)
-        many = n > 1
-        return pa.RecordBatch.from_arrays(
-            [pa.array(found[many].view(np.int64)), pa.array(n[many].astype(np.int64))], names=["token", "n"]
-        )
-
-    sets, held = {}, 0
-    for batch in batches:
-        for _, _, words in hashed(as_bytes(batch["text"]), SPACED):
-            found = shingle_set(words, size)
-            # Copies are one set, as they are one class.
-            sets[xxhash.xxh3_128_digest(found.tobytes())] = found
-            held += len(words)
-            if held > 4_000_000:
-                yield flush(list(sets.values()))
-                sets, held = {}, 0
+    sets, seen, held = [], set(), 0
+    for whole in batches:
+        for batch in small_batches(whole):
+            for _, _, words in hashed(as_bytes(batch["text"]), SPACED):
+                found = shingle_set(words, size)
+                # Copies are one set, as they are one class.
+                digest = xxhash.xxh3_128_digest(found.tobytes())
+                if digest not in seen:
+                    seen.add(digest)
+                    sets.append(found)
+                held += len(words)
+                if held > STRETCH:
+                    yield _repeated(sets)
+                    seen, held = set(), 0
     if sets:
-        yield flush(list(sets.values()))
+        yield _repeated(sets)
 
 
 def frequent_shingles(docs: DataFrame, size: int) -> np.ndarray:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from custarc.llm.common import unpacked
-from custarc.llm.words import lists
+from custarc.llm.words import lists, small_batches
 
 BITS = 18
 SAMPLE = 1500
@@ -179,9 +179,10 @@ def fit_arrays(flat: np.ndarray, lengths: np.ndarray, grades: np.ndarray, weight
 
 def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = _Known(word_features)
-    for batch in batches:
-        found = [features(t, known) for t in batch["text"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch["grade"], lists(found, pa.int32())], names=["grade", "slots"])
+    for whole in batches:
+        for batch in small_batches(whole):
+            found = [features(t, known) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["grade"], lists(found, pa.int32())], names=["grade", "slots"])
 
 
 def rated_sample(
