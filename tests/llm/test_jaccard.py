@@ -1,5 +1,7 @@
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from brute import near_duplicates as plain
 from brute import shingles
@@ -106,3 +108,15 @@ def test_components_of_long_chains_and_stars(spark):
     assert len(found) == len({r.node for r in found})
     expected = {k: 0 for k in range(71)} | {k: 100 for k in range(100, 160)} | {200: 200, 300: 200}
     assert {r.node: r.component for r in found} == expected
+
+
+def test_counting_shingles_holds_a_few_texts_at_a_time():
+    """The texts of a batch are taken apart a slice at a time; the counts are those of distinct sets."""
+    texts = [f"w{k} " + "a b c d e f " * 150 for k in range(4096)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    tracemalloc.start()
+    (found,) = jaccard._counts(iter([batch]), 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(found["n"].to_pylist()) == [4096] * 6
+    assert peak < sum(map(len, texts)) / 2
