@@ -137,3 +137,22 @@ def test_rows_are_grouped_where_they_are(spark, name):
     text = final_plan(QUERIES[name](models(spark, SF)))
     above = text[: re.search(r"Generate explode\(sequence\(_from", text).start()]
     assert "Exchange" not in above
+
+
+def test_partitions_stay_small_for_rows_repeated_behind_the_shuffle(spark):
+    """Adaptive execution doesn't join the partitions of the look back by their size before the months
+    are repeated, and no sort of it compares the text of an entity before its hash."""
+    day = datetime(2020, 1, 1)
+    rows = [(f"s{k % 50}", day + timedelta(days=k), float(k), "t", [1, 1, 1], 1) for k in range(400)]
+    df = spark.createDataFrame(rows, "e string, at timestamp_ntz, v double, t string, m array<long>, w long")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        back = previous_value(df, "e", "at", "v", ["t"], "w", "old", year_or_day, counted_before=True, months="m")
+        assert back.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        text = final_plan(back)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    first = re.findall(r"\bSort \[(_[a-z_]+)#", text)
+    # The window over an entity's periods is the one that has no period to hash.
+    assert sorted(set(first)) == ["_hash", "_hash_r", "_known"] and first.count("_known") == 1
