@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from checks.queries import QUERIES, SETTINGS, models
 from custarc.operators.expansion import distinct_by_month, each_month
-from custarc.operators.ladder import SPREAD, day_number, hour_number, months_by_entity, previous_value
+from custarc.operators.ladder import SPREAD, YearOr, day_number, hour_number, months_by_entity, previous_value
 from custarc.plans import retention, revenue
 from custarc.sinks.tables import cut_into
 
@@ -86,6 +86,42 @@ def test_months_by_entity_are_the_months(spans):
     assert bag(here, "w", *ROW) == {k[3:]: n for k, n in bag(here, "w", *SPREAD, *ROW).items()}
 
 
+@pytest.mark.parametrize("longest", [14, 30])
+def test_years_from_numbers_against_brute_force(spark, spans, longest):
+    """Years that follow from bits of the months give the rows and marks that moments give, also for
+    arrays without rows, without elements, or longer than the bits."""
+    more = spans.limit(60).withColumn("m", F.expr(f"slice(concat(m, m, m), 1, {longest})"))
+    odd = spans.limit(30).withColumn("m", F.expr("transform(m, (n, i) -> if(i % 5 = 0, 0L, n))"))
+    rows = more.unionByName(odd).unionByName(spans).unionByName(spans.limit(5).withColumn("m", F.expr("array(0L, 0L)")))
+    rows = rows.where("m IS NULL OR size(m) > 0").localCheckpoint()
+    got = previous_value(
+        rows, "e", "at", "v", ["t"], "w", "old", YearOr(hour_number), True, "rank", "first", "m", "once", ["t"]
+    ).collect()
+    found, ranks, firsts = brute(rows)
+    state, marks, months = Counter(), Counter(), set()
+    for r in got:
+        state[(r.e, r["at"], r.v, r.t, r.old)] += r.copies
+        assert r.once in (0, 1) and (r.once == 0 or r.copies == 1)
+        if r.e is not None:
+            month = (r.e, r["at"] and (r["at"].year, r["at"].month), r.t)
+            months.add(month)
+            marks[month] += r.once
+    assert state == found
+    assert {(r.e, 13 if r["at"] is None else r["at"].month): r["rank"] for r in got} == ranks
+    assert {r.e: r["first"] for r in got} == firsts
+    assert months and marks == dict.fromkeys(months, 1)
+
+
+def test_subscriptions_are_counted_without_grouping_by_them(spark):
+    """The rows of a subscription are the larger part of the mart's work; they are grouped by its keys only,
+    and no year of theirs is worked out month by month."""
+    m = models(spark, SF)
+    df = retention.mart_retention(m.dim_subscription, m.fact_transaction, SETTINGS)
+    aggregates = [l for l in final_plan(df).splitlines() if "Aggregate(keys=" in l]
+    by_months = [l for l in aggregates if "months_since_start" in l]
+    assert by_months and not any("_entity" in l for l in by_months)
+
+
 def test_distinct_by_month(spans):
     months = each_month(spans, "m", "at", "w")
     number = F.month("at").cast("long").alias("n")
