@@ -5,6 +5,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from custarc.functions.keys import packed_key, unpacked_key
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
@@ -19,10 +22,14 @@ def table_path(location: str, name: str) -> str:
 
 def write_table(df: DataFrame, location: str, name: str) -> DataFrame:
     """Write the Parquet folder ``location/name`` and return it as read back, so what is built on
-    it starts from stored files. For scratch folders, which nobody else reads."""
+    it starts from stored files. For scratch folders, which nobody else reads: surrogate keys are packed in the
+    files."""
     path = table_path(location, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    keys = [c for c, kind in df.dtypes if kind == "string" and c.endswith("_sk")]
+    packed = df.withColumns({c: packed_key(F.col(c)) for c in keys})
+    packed.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    stored = df.sparkSession.read.schema(packed.schema).parquet(path)
+    return stored.withColumns({c: unpacked_key(F.col(c)) for c in keys})
 
 
 VERSIONS, POINTER = "_versions", "_current"
