@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from checks.queries import SETTINGS
 from custarc.functions.keys import packed_key, unpacked_key
 from custarc.operators.asof import as_of
+from custarc.operators.expansion import distinct_by_month, each_month
 from custarc.operators.joins import left_join_few, left_join_when, lookup_left, lookup_left_packed
 from custarc.plans import revenue
 from custarc.plans.core import with_version_as_of
 from custarc.sinks.tables import cut_into, write_table
-from test_slim_marts import frames, no_broadcast, rows  # noqa: F401
+from test_slim_marts import frames, no_broadcast, plan, rows  # noqa: F401
 
 md5 = lambda text: hashlib.md5(str(text).encode()).hexdigest()
 ODD = [
@@ -119,3 +120,34 @@ def test_payments_of_one_key_share_their_months_when_stored(spark, frames, tmp_p
     bag = lambda df: {tuple(r)[:-1]: r.n for r in df.groupBy(*names).agg(F.sum("weight").alias("n")).collect()}
     assert bag(stored) == bag(plain)
     assert sorted(p.name for p in tmp_path.iterdir()) == ["paid_months", "paid_versions"]
+
+
+def test_distinct_values_from_months_not_written_out(spark):
+    """Keys with separators, empty texts and NULLs; rows without a moment, and more months than an integer holds."""
+    r = random.Random(3)
+    odd = [None, "", "|", "~", "~1", "=", "a|b", "a", "b|~0"]
+    at = lambda: r.choice([None, datetime(2000, r.randrange(1, 13), 28), datetime(2001, 1, 31)])
+    data = [
+        (r.choice([None, *"uvwxyz"]), at(), r.choice(odd), r.choice(odd), [r.choice([0, 0, 1, 2]) for _ in range(r.choice([1, 3, 12, 20]))])
+        for _ in range(400)
+    ]
+    df = spark.createDataFrame(data, "of string, at timestamp_ntz, k string, l string, months array<bigint>")
+    expected = {}
+    for of, day, k, l, months in data:
+        for m in (m for m, n in enumerate(months) if n and of):
+            expected.setdefault((day and (day.month - 1 + m) % 12 + 1, k, l), set()).add(of)
+    found = distinct_by_month(df, "of", "at", ["k", "l"], "month", "n", "months")
+    assert found.columns == ["month", "k", "l", "n"]
+    assert {tuple(x)[:3]: x.n for x in found.collect()} == {key: len(values) for key, values in expected.items()}
+    written = each_month(df.withColumn("w", F.lit(1)), "months", "at", "w")
+    again = distinct_by_month(written, "of", "at", ["k", "l"], "month", "n")
+    assert Counter(again.collect()) == Counter(found.collect())
+
+
+def test_a_looked_up_key_is_shuffled_once(spark, no_broadcast):  # noqa: F811
+    left = spark.createDataFrame([(1, "a@x", "p"), (2, None, "q")], "id int, mail string, v string")
+    right = spark.createDataFrame([("a@x", "k")], "rk string, user_sk string")
+    text = plan(lookup_left(left, right, "mail", "rk", ["id"]).drop("mail"))
+    exchange = next(i for i, line in enumerate(text.splitlines()) if "Exchange hashpartitioning(_left_key" in line)
+    below = text.splitlines()[exchange + 1]
+    assert "Project [id" in below and "AS _left_key" in below and ", mail#" not in below.split("coalesce")[0]
