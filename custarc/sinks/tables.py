@@ -20,14 +20,14 @@ def table_path(location: str, name: str) -> str:
     return f"{location.rstrip('/')}/{name}"
 
 
-def write_table(df: DataFrame, location: str, name: str) -> DataFrame:
+def write_table(df: DataFrame, location: str, name: str, **options: str) -> DataFrame:
     """Write the Parquet folder ``location/name`` and return it as read back, so what is built on
     it starts from stored files. For scratch folders, which nobody else reads: surrogate keys are packed in the
-    files."""
+    files. ``options`` are those of the writer."""
     path = table_path(location, name)
     keys = [c for c, kind in df.dtypes if kind == "string" and c.endswith("_sk")]
     packed = df.withColumns({c: packed_key(F.col(c)) for c in keys})
-    packed.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    packed.write.mode("overwrite").options(**options).parquet(path)
     stored = df.sparkSession.read.schema(packed.schema).parquet(path)
     return stored.withColumns({c: unpacked_key(F.col(c)) for c in keys})
 
@@ -121,4 +121,4 @@ def scratch_folder(spark: SparkSession) -> str:
 
 def cut_into(location: str):
     """A ``cut(df, name)`` that stores a table read more than once under ``location``."""
-    return lambda df, name: write_table(df, location, name)
+    return lambda df, name: write_table(df, location, name, compression="zstd")
